@@ -72,7 +72,7 @@ _P2 = """
 with e as (
   select victim_entity_id as id, entity_summary_vec as v from entity_summary_vectors
   union all select unique_id, summary_vec from entity_link_input where unique_id not in (select victim_entity_id from entity_summary_vectors)),
-d as (select distinct id, v from e where v is not null and len(v) = 64 and list_dot_product(v, v) > 0),
+d as materialized (select distinct id, v from e where len(v) = 64 and len(list_filter(v, lambda x: x is not null)) = 64 and len(list_filter(v, lambda x: x <> 0)) > 0),
 n as (select a.id, b.id as other, round(list_cosine_similarity(a.v, b.v), 9) as s from d a join d b on a.id <> b.id
   qualify row_number() over (partition by a.id order by round(list_cosine_similarity(a.v, b.v), 9) desc, b.id) <= 5)
 """
