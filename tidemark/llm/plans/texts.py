@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.leakage import leaks
 from tidemark.llm.packing import fill_containers, token_count
+from tidemark.llm.prose import document_statistics, junk_probability
 from tidemark.session import read_table
 
 CAPACITY = 2048
@@ -35,5 +36,13 @@ def p9_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "eval_items"))
 
 
-QUERIES = {"p8_containers": p8_containers, "p8_fill": p8_fill, "p9_found": p9_found, "p9_leaks": p9_leaks}
+def p10_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_statistics(read_table(spark, sf_dir, "documents"))
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return junk_probability(read_table(spark, sf_dir, "documents")).filter("junk >= 0.5").select("doc_id")
+
+
+QUERIES = {"p10_found": p10_found, "p10_statistics": p10_statistics, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_found": p9_found, "p9_leaks": p9_leaks}
 ORACLE: dict[str, str] = {}
