@@ -1,7 +1,7 @@
 """The queries of this package, with their SQL where SQL can express them."""
 
-from tidemark.llm.plans import places, records, texts
+from tidemark.llm.plans import matching, places, records, texts
 
-MODULES = (places, records, texts)
+MODULES = (matching, places, records, texts)
 QUERIES = {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLE.items()}
