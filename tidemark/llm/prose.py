@@ -51,7 +51,18 @@ FEATURES = (
 )
 
 
-def statistics(texts: list[str]) -> np.ndarray:
+def statistics(texts: list[str], chunk: int = 2_000_000) -> np.ndarray:
+    """One row of FEATURES per text (see ``_statistics``), worked out for about ``chunk`` characters at a time."""
+    parts, begin, size = [], 0, 0
+    for i, t in enumerate(texts):
+        size += len(t or "")
+        if size >= chunk or i + 1 == len(texts):
+            parts.append(_statistics(texts[begin : i + 1]))
+            begin, size = i + 1, 0
+    return np.vstack(parts) if parts else np.zeros((0, len(FEATURES)))
+
+
+def _statistics(texts: list[str]) -> np.ndarray:
     """One row of FEATURES per text, computed over the bytes of the whole batch at once.
 
     n_words: runs of letters. mean_word_length: letters per word. *_ratio: share of the non-blank characters.
