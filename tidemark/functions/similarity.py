@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def jaro_winkler_pair(a: str, b: str, boost_from: float = 0.7, scale: float = 0.1) -> float:
@@ -36,7 +37,7 @@ def jaro_winkler_pair(a: str, b: str, boost_from: float = 0.7, scale: float = 0.
     return jaro + prefix * scale * (1 - jaro)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
     seen: dict[tuple, float | None] = {}
     out = []

@@ -78,7 +78,7 @@ def keywords(c: Column, words: Iterable[str]) -> Column:
 
 def csv_members(c: Column) -> Column:
     """The members of a comma-separated set: trimmed, none empty, sorted, once each; null is the empty set."""
-    return F.array_sort(F.array_distinct(F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), ","), F.trim), lambda x: x != "")))
+    return F.array_sort(F.array_distinct(F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), ","), lambda x: F.trim(x)), lambda x: x != "")))
 
 
 def csv_union(*cs: Column) -> Column:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tidemark.plans import data_queries
+from tidemark.plans import data_queries, relational, scalars
 
-MODULES = (data_queries,)
+MODULES = (data_queries, relational, scalars)
 FLAGSHIP = "p7_borough"
 
 
