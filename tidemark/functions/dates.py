@@ -11,7 +11,7 @@ from tidemark.functions.values import within
 def safe_date(year: Column, month: Column, day: Column) -> Column:
     """The date, or null where the parts make none (30 February)."""
     text = F.format_string("%04d-%02d-%02d", year.cast("int"), month.cast("int"), day.cast("int"))
-    return F.when(year.isNotNull() & month.isNotNull() & day.isNotNull(), F.try_to_date(text, F.lit("yyyy-MM-dd")))
+    return F.when(year.isNotNull() & month.isNotNull() & day.isNotNull(), F.try_to_date(text, "yyyy-MM-dd"))
 
 
 def precision(year: Column, month: Column, day: Column) -> Column:
@@ -34,13 +34,13 @@ def text_date(c: Column) -> tuple[Column, Column, Column]:
     """Year, month and day of free text: a full date, a month and year, or a year."""
     s = F.trim(F.regexp_replace(c, r"[,.]", " "))
     s = F.regexp_replace(s, r"\s+", " ")
-    full = F.coalesce(*[F.try_to_date(s, F.lit(f)) for f in ("yyyy-MM-dd", "yyyyMMdd", "MMMM d yyyy", "MMM d yyyy", "d MMMM yyyy", "M/d/yyyy")])
-    month = F.coalesce(*[F.try_to_date(F.concat(F.lit("1 "), s), F.lit(f)) for f in ("d MMMM yyyy", "d MMM yyyy", "d yyyy-MM", "d M/yyyy")])
+    full = F.coalesce(*[F.try_to_date(s, f) for f in ("yyyy-MM-dd", "yyyyMMdd", "MMMM d yyyy", "MMM d yyyy", "d MMMM yyyy", "M/d/yyyy")])
+    month = F.coalesce(*[F.try_to_date(F.concat(F.lit("1 "), s), f) for f in ("d MMMM yyyy", "d MMM yyyy", "d yyyy-MM", "d M/yyyy")])
     year = F.when(s.rlike(r"^\d{4}$"), s.cast("int"))
     return F.coalesce(F.year(full), F.year(month), year), F.coalesce(F.month(full), F.month(month)), F.day(full)
 
 
 def spread_in_month(year_month: Column, rank: Column, count: Column) -> Column:
     """A day for a row known to the month only: the rank-th of ``count`` equal steps through the month YYYY-MM."""
-    first = F.try_to_date(F.concat(year_month, F.lit("-01")), F.lit("yyyy-MM-dd"))
+    first = F.try_to_date(F.concat(year_month, F.lit("-01")), "yyyy-MM-dd")
     return F.round(F.unix_date(first) - 1 + rank * F.day(F.last_day(first)) / count)

@@ -39,7 +39,7 @@ def plain_quotes(c: Column) -> Column:
 
 def long_date(c: Column) -> Column:
     """YYYYMMDD as 'Month dd, yyyy'; null where it is no date."""
-    return F.date_format(F.try_to_date(c, F.lit("yyyyMMdd")), "MMMM dd, yyyy")
+    return F.date_format(F.try_to_date(c, "yyyyMMdd"), "MMMM dd, yyyy")
 
 
 def clip(c: Column, charset: str) -> Column:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.plans import data_queries, relational, scalars
+from tidemark.plans import data_queries, linkage, relational, retrieval, scalars
 
-MODULES = (data_queries, relational, scalars)
-FLAGSHIP = "p7_borough"
+MODULES = (data_queries, relational, scalars, linkage, retrieval)
+FLAGSHIP = "q_score_pairs_fixed_model"
 
 
 def queries() -> dict:

@@ -242,7 +242,7 @@ def q_buckets_and_nulls(spark: SparkSession, sf: str) -> DataFrame:
 from (select doc_id, try_strptime(pub_date, '%Y%m%d') as d from documents where regexp_matches(pub_date, '^\\d{8}$')) where d is not null)
 select doc_id, case when k < 3 then cast(year(d) as integer) end as y, case when k < 2 then cast(month(d) as integer) end as m, case when k = 0 then cast(day(d) as integer) end as d from t""")
 def q_text_dates(spark: SparkSession, sf: str) -> DataFrame:
-    docs = T(spark, sf, "documents").filter(F.col("pub_date").rlike(r"^\d{8}$")).withColumn("d", F.try_to_date("pub_date", F.lit("yyyyMMdd"))).filter("d is not null")
+    docs = T(spark, sf, "documents").filter(F.col("pub_date").rlike(r"^\d{8}$")).withColumn("d", F.try_to_date("pub_date", "yyyyMMdd")).filter("d is not null")
     k = F.col("doc_id") % 4
     s = F.when(k == 0, F.date_format("d", "MMMM dd, yyyy")).when(k == 1, F.date_format("d", "MMMM yyyy")).when(k == 2, F.date_format("d", "yyyy")).otherwise("unknown")
     y, m, d = dates.text_date(F.col("s"))

@@ -40,7 +40,7 @@ def read_register(spark: SparkSession, path: str, state: str | None = None, year
 
 
 def with_year_month(df: DataFrame) -> DataFrame:
-    stamp = F.try_to_date(F.concat_ws(" ", F.lit("1"), F.col("Month"), F.col("Year").cast("string")), F.lit("d MMMM yyyy"))
+    stamp = F.try_to_date(F.concat_ws(" ", F.lit("1"), F.col("Month"), F.col("Year").cast("string")), "d MMMM yyyy")
     return df.withColumn("YearMonth", F.date_format(stamp, "yyyy-MM"))
 
 
