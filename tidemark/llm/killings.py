@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 from itertools import chain
 
@@ -32,6 +33,12 @@ UNKNOWN = ("", "unknown", "u", "relationship not known", "unknown relationship",
 SAME = {"sex": "victim", "race": "victim", "ethnicity": "victim", "relationship": "event", "circumstance": "event", "weapon": "event", "o_sex": "offender", "o_race": "offender", "o_ethnicity": "offender"}
 GROUPS = ("victim", "event", "offender")
 AGE_BAND, AGE_SLACK = 4, 3
+#: What the register's month is worth, in bits, by how many months it is after the article's: months are mistaken a little, and the
+#: register books some killings under the following year. For articles that know the year only, by year.
+MONTHS_AFTER = {0: 1.5, 1: -3.0, -1: -3.0, 2: -6.0, 12: -4.5}
+YEARS_AFTER = {0: -2.0, 1: -8.0}
+#: A sex that differs: rare among matches, as one source may have it wrong.
+OTHER_SEX = -5.0
 
 
 def _known(c: Column) -> Column:
@@ -100,27 +107,32 @@ def shifted(register: DataFrame, by: int = 60) -> DataFrame:
 def candidate_pairs(orphans: DataFrame, register: DataFrame) -> DataFrame:
     """Pairs of one town and about one month that contradict each other nowhere, with one similarity per group.
 
-    Keys are town, month (an orphan record stands in its own month and the two beside it, or in its year's twelve)
-    and age band (an unknown age meets all). A similarity is the sum, over a group's attributes known on both
+    Keys are town, month (an orphan record stands in the months of ``MONTHS_AFTER``, or in all months of the years of
+    ``YEARS_AFTER``) and age band (an unknown age meets all). A similarity is the sum, over a group's attributes known on both
     sides, of the bits the agreement is worth: -log2 of how common the value is, less with the distance of ages. A
-    group without such attributes is null. Pairs that contradict each other in an attribute are left out: the sources
-    leave things out and mistake ages and months a little, nothing else.
+    group without such attributes is null. Pairs that contradict each other in an attribute other than sex are left
+    out: the sources leave things out and mistake ages, months and now and then the sex, nothing else.
     """
-    months = F.when(F.col("ym").isNotNull(), F.sequence(F.col("ym") - 1, F.col("ym") + 1)).otherwise(F.sequence(F.col("year") * 12 + 1, F.col("year") * 12 + 12))
+    by_month = F.array(*[F.col("ym") + d for d in MONTHS_AFTER])
+    by_year = F.sequence(F.col("year") * 12 + 1, F.col("year") * 12 + 12 * len(YEARS_AFTER))
+    months = F.when(F.col("ym").isNotNull(), by_month).otherwise(by_year)
     band = F.floor(F.col("age") / AGE_BAND).cast("int")
     # Negative bands: -10 = any register age for an unknown one, -20 = the register's unknown.
     l_bands = F.when(F.col("age").isNull(), F.array(F.lit(-10), F.lit(-20))).otherwise(F.array(band - 1, band, band + 1, F.lit(-20)))
     r_bands = F.when(F.col("age").isNull(), F.array(F.lit(-20))).otherwise(F.array(band, F.lit(-10)))
     worth = _bits(register)
     left = orphans.filter(F.col("ym").isNotNull() | F.col("year").isNotNull()).select(
-        "l_id", "incident", F.col("ym").alias("l_ym"), *[F.col(c).alias(f"l_{c}") for c in (*SAME, "age", "o_age", "count", "o_count")],
+        "l_id", "incident", F.col("ym").alias("l_ym"), F.col("year").alias("l_year"), *[F.col(c).alias(f"l_{c}") for c in (*SAME, "age", "o_age", "count", "o_count")],
         "town", F.explode(months).alias("key_ym"), l_bands.alias("bands"),
     ).withColumn("band", F.explode("bands")).drop("bands")
-    right = register.select(
+    right = register.join(_town_bits(register), "town").select(
+        "place",
         "r_id", F.col("ym").alias("r_ym"), *[F.col(c).alias(f"r_{c}") for c in (*SAME, "age", "o_age", "count", "o_count")], "town", F.col("ym").alias("key_ym"), F.explode(r_bands).alias("band"),
     )
     fits = F.lit(True)
     for c in SAME:
+        if c == "sex":
+            continue
         same = F.col(f"l_{c}") == F.col(f"r_{c}")
         if c == "weapon":
             either = (F.col("l_weapon") == "firearm") | (F.col("r_weapon") == "firearm")
@@ -135,7 +147,9 @@ def candidate_pairs(orphans: DataFrame, register: DataFrame) -> DataFrame:
     def bits(c: str) -> Column:
         both = F.col(f"l_{c}").isNotNull() & F.col(f"r_{c}").isNotNull()
         table, rare = worth[c]
-        value = F.coalesce(F.try_element_at(table, F.col(f"r_{c}").cast("string")), F.lit(rare)) if table is not None else F.lit(rare)
+        value = F.coalesce(F.try_element_at(table, F.col(f"r_{c}").cast("string")), F.lit(rare))
+        if c == "sex":
+            value = F.when(F.col("l_sex") == F.col("r_sex"), value).otherwise(OTHER_SEX)
         if c in ("age", "o_age"):
             value = value * F.pow(F.lit(4.0), -F.abs(F.col(f"l_{c}") - F.col(f"r_{c}")))
         return F.when(both, value)
@@ -145,34 +159,40 @@ def candidate_pairs(orphans: DataFrame, register: DataFrame) -> DataFrame:
     members["offender"] += ["o_age", "o_count"]
     sums = {g: sum((F.coalesce(bits(c), F.lit(0.0)) for c in cs), F.lit(0.0)) for g, cs in members.items()}
     seen = {g: F.coalesce(*[bits(c) for c in cs]).isNotNull() for g, cs in members.items()}
-    # What the month is worth: the same one of three, a neighbour (rare among matches), any of twelve.
-    month = F.when(F.col("l_ym").isNull(), -2.0).when(F.col("l_ym") == F.col("r_ym"), 1.5).otherwise(-3.0)
-    table, rare = worth["town"]
-    place = F.coalesce(F.try_element_at(table, F.col("town")), F.lit(rare)) if table is not None else F.lit(rare)
+    after, month = F.col("r_ym") - F.col("l_ym"), F.lit(None).cast("double")
+    for d, bits_ in MONTHS_AFTER.items():
+        month = F.when(after == d, bits_).otherwise(month)
+    for d, bits_ in YEARS_AFTER.items():
+        month = F.when(F.col("l_ym").isNull() & (F.floor((F.col("r_ym") - 1) / 12) - F.col("l_year") == d), bits_).otherwise(month)
     return met.select(
         "l_id", "r_id", F.concat_ws("|", F.col("r_id").cast("string"), "incident").alias("rival"),
-        F.when(seen["victim"], sums["victim"]).alias("victim"), (sums["event"] + month + place).alias("event"), F.when(seen["offender"], sums["offender"]).alias("offender"),
+        F.when(seen["victim"], sums["victim"]).alias("victim"), (sums["event"] + month + F.col("place")).alias("event"), F.when(seen["offender"], sums["offender"]).alias("offender"),
     )
 
 
-def _bits(register: DataFrame) -> dict[str, tuple[Column | None, float]]:
+def _town_bits(register: DataFrame) -> DataFrame:
+    """(town, place): -log2 of each town's share of the register."""
+    counts = register.filter("town is not null").groupBy("town").agg(F.count("*").alias("n"))
+    return counts.crossJoin(F.broadcast(counts.agg(F.sum("n").alias("_all")))).select("town", (-F.log2(F.col("n") / F.col("_all"))).alias("place"))
+
+
+def _bits(register: DataFrame) -> dict[str, tuple[Column, float]]:
     """-log2 of the share of each value among the known ones of each attribute, over the whole register. Attributes are
-    categories and ages of a fixed range, so the counts are a few thousand rows at most."""
-    names = [*SAME, "age", "o_age", "count", "o_count", "town"]
+    categories and ages of a fixed range, so the counts are a few hundred rows; they become constant maps."""
+    names = [*SAME, "age", "o_age", "count", "o_count"]
     cells = register.select(F.inline(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in names]))).filter("v is not null")
-    top = Window.partitionBy("c").orderBy(F.desc("n"), "v")
-    counts = cells.groupBy("c", "v").agg(F.count("*").alias("n")).withColumn("k", F.row_number().over(top)).filter("k <= 5000").select("c", "v", "n")
+    counts = cells.groupBy("c", "v").agg(F.count("*").alias("n"))
+    totals = dict(tuple(r) for r in counts.groupBy("c").agg(F.sum("n")).collect())
+    top = F.row_number().over(Window.partitionBy("c").orderBy(F.desc("n"), "v"))
     by: dict[str, dict[str, int]] = {}
-    for r in counts.collect():  # at most 5000 values an attribute; rarer ones count as the rarest
+    for r in counts.withColumn("k", top).filter("k <= 300").select("c", "v", "n").collect():  # rarer ones count as the rarest of these
         by.setdefault(r["c"], {})[r["v"]] = r["n"]
-    out: dict[str, tuple[Column | None, float]] = {}
+    out: dict[str, tuple[Column, float]] = {}
     for c in names:
-        seen = by.get(c, {})
-        total = sum(seen.values())
+        seen, total = by.get(c, {}), totals.get(c, 1)
         worth = {v: -math.log2(n / total) for v, n in seen.items()}
         if c == "weapon":  # an unspecific gun is worth what a gun is
-            guns = -math.log2(max(1, sum(seen.get(g, 0) for g in GUNS)) / max(1, total))
+            guns = -math.log2(max(1, sum(seen.get(g, 0) for g in GUNS)) / total)
             worth |= {g: guns for g in GUNS if g in worth}
-        table = F.create_map(*chain.from_iterable((F.lit(v), F.lit(b)) for v, b in worth.items())) if worth else None
-        out[c] = (table, max(worth.values(), default=1.0))
+        out[c] = (F.from_json(F.lit(json.dumps(worth)), "map<string, double>"), max(worth.values(), default=1.0))
     return out
