@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tidemark.plans import data_queries, linkage, relational, retrieval, scalars
+from tidemark.plans import data_queries, linkage, relational, retrieval, scalars, statements
 
-MODULES = (data_queries, relational, scalars, linkage, retrieval)
+MODULES = (data_queries, relational, scalars, linkage, retrieval, statements)
 FLAGSHIP = "q_score_pairs_fixed_model"
 
 
