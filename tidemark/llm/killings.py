@@ -104,7 +104,7 @@ def shifted(register: DataFrame, by: int = 60) -> DataFrame:
     return register.withColumn("ym", F.pmod(F.col("ym") - lo + by, F.lit(span)) + lo)
 
 
-def candidate_pairs(orphans: DataFrame, register: DataFrame) -> DataFrame:
+def candidate_pairs(orphans: DataFrame, register: DataFrame, worth: dict | None = None) -> DataFrame:
     """Pairs of one town and about one month that contradict each other nowhere, with one similarity per group.
 
     Keys are town, month (an orphan record stands in the months of ``MONTHS_AFTER``, or in all months of the years of
@@ -120,7 +120,7 @@ def candidate_pairs(orphans: DataFrame, register: DataFrame) -> DataFrame:
     # Negative bands: -10 = any register age for an unknown one, -20 = the register's unknown.
     l_bands = F.when(F.col("age").isNull(), F.array(F.lit(-10), F.lit(-20))).otherwise(F.array(band - 1, band, band + 1, F.lit(-20)))
     r_bands = F.when(F.col("age").isNull(), F.array(F.lit(-20))).otherwise(F.array(band, F.lit(-10)))
-    worth = _bits(register)
+    worth = worth or attribute_bits(register)
     left = orphans.filter(F.col("ym").isNotNull() | F.col("year").isNotNull()).select(
         "l_id", "incident", F.col("ym").alias("l_ym"), F.col("year").alias("l_year"), *[F.col(c).alias(f"l_{c}") for c in (*SAME, "age", "o_age", "count", "o_count")],
         "town", F.explode(months).alias("key_ym"), l_bands.alias("bands"),
@@ -176,7 +176,7 @@ def _town_bits(register: DataFrame) -> DataFrame:
     return counts.crossJoin(F.broadcast(counts.agg(F.sum("n").alias("_all")))).select("town", (-F.log2(F.col("n") / F.col("_all"))).alias("place"))
 
 
-def _bits(register: DataFrame) -> dict[str, tuple[Column, float]]:
+def attribute_bits(register: DataFrame) -> dict[str, tuple[Column, float]]:
     """-log2 of the share of each value among the known ones of each attribute, over the whole register. Attributes are
     categories and ages of a fixed range, so the counts are a few hundred rows; they become constant maps."""
     names = [*SAME, "age", "o_age", "count", "o_count"]

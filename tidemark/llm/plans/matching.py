@@ -5,16 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.killings import GROUPS, candidate_pairs, orphan_records, register_records, shifted
+from tidemark.llm.killings import GROUPS, attribute_bits, candidate_pairs, orphan_records, register_records, shifted
 from tidemark.llm.mixture import fit_and_score
-from tidemark.session import read_table
+from tidemark.session import Scratch, read_table
 
 
 def p1_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every candidate pair with the confidence that both are about the same victim."""
-    orphans, register = orphan_records(read_table(spark, sf_dir, "orphan_link_input")), register_records(read_table(spark, sf_dir, "shr"))
-    by_chance = candidate_pairs(orphans, shifted(register))
-    scored, _ = fit_and_score(candidate_pairs(orphans, register), GROUPS, owner="l_id", rival="rival", background=by_chance)
+    scratch = Scratch(spark)
+    orphans = scratch.keep(orphan_records(read_table(spark, sf_dir, "orphan_link_input")), "orphans")
+    register = scratch.keep(register_records(read_table(spark, sf_dir, "shr")), "register")
+    worth = attribute_bits(register)
+    by_chance = candidate_pairs(orphans, shifted(register), worth)
+    scored, _ = fit_and_score(candidate_pairs(orphans, register, worth), GROUPS, owner="l_id", rival="rival", background=by_chance)
     return scored.select(F.col("r_id").alias("shr_index"), F.col("l_id").alias("unique_id"), "posterior")
 
 
