@@ -117,8 +117,9 @@ def best_per_right(scored: DataFrame, l_id: Column, r_id: Column) -> DataFrame:
 
 
 def prior_from_rules(matched_pairs: int, recall: float, all_pairs: float) -> float:
-    """The chance that two records match: deterministic matches over their recall over all pairs."""
-    return min(max(matched_pairs / recall / max(all_pairs, 1.0), 1e-12), 1 - 1e-12)
+    """The chance that two records match: deterministic matches over their recall over all pairs; no such match counts as
+    half a one, as it does not prove that there are none."""
+    return min(max(max(matched_pairs, 0.5) / recall / max(all_pairs, 1.0), 1e-12), 1 - 1e-12)
 
 
 def estimate_u(left: DataFrame, right: DataFrame | None, comparisons: Sequence[Comparison], pairs: int = 1_000_000, seed: int = 1) -> tuple[Comparison, ...]:

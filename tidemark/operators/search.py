@@ -22,10 +22,10 @@ def bm25(docs: DataFrame, id_col: str, text: str, terms: Sequence[str], k1: floa
     """(id, score) of the documents that hold any of the terms. Counting the query's terms needs one pass over the texts
     and no postings shuffle: term counts are columns of the document. ``limit_share`` keeps that share of the corpus, one at
     least, by score and id."""
-    toks = docs.select(id_col, token_array(F.col(text)).alias("t"))
-    is_term = lambda w: lambda x: x == F.lit(w)  # noqa: E731  (a second argument would be the position)
-    tf = {f"_tf{i}": F.size(F.filter("t", is_term(w))) for i, w in enumerate(terms)}
-    counted = toks.select(id_col, F.size("t").alias("_len"), *[c.alias(n) for n, c in tf.items()])
+    low = F.lower(F.coalesce(F.col(text), F.lit("")))
+    word = lambda w: rf"(?<![\p{{L}}\p{{N}}]){w.lower()}(?![\p{{L}}\p{{N}}])"
+    tf = {f"_tf{i}": F.regexp_count(low, F.lit(word(w))) for i, w in enumerate(terms)}
+    counted = docs.select(id_col, F.regexp_count(low, F.lit(r"[\p{L}\p{N}]+")).alias("_len"), *[c.alias(n) for n, c in tf.items()])
     stats = counted.agg(F.count("*").alias("_n"), F.avg("_len").alias("_avg"), *[F.count_if(F.col(n) > 0).alias(f"{n}_df") for n in tf])
     both = counted.filter(" or ".join(f"{n} > 0" for n in tf)).crossJoin(F.broadcast(stats))  # one row
     score = F.lit(0.0)

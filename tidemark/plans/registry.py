@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tidemark.plans import data_queries, linkage, relational, retrieval, scalars, statements
+from tidemark.plans import data_queries, linkage, pipelines, relational, retrieval, scalars, statements
 
-MODULES = (data_queries, relational, scalars, linkage, retrieval, statements)
+MODULES = (data_queries, relational, scalars, linkage, retrieval, statements, pipelines)
 FLAGSHIP = "q_score_pairs_fixed_model"
 
 

@@ -37,7 +37,8 @@ def shared_folder(spark: SparkSession) -> str:
     machine) a temporary folder is made and set."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local["):
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="tidemark-")
         atexit.register(shutil.rmtree, folder[7:], True)
