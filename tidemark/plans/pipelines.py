@@ -53,9 +53,20 @@ def q_dedupe_named_victims(spark: SparkSession, sf: str) -> DataFrame:
     return jobs.run(job, Scratch(spark).keep(named_victims(spark, sf))).clusters.select("cluster_id", "member_id")
 
 
+def in_shared_months(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of both sides in the months that both cover. A row known to the year only (no month) may lie in each month of its
+    year: it covers them all, and stays if any month of its year is shared."""
+    every = F.sequence(F.lit(1), F.lit(12))
+    covers = lambda df: df.select("year", F.explode(F.when(F.col("month").isNull(), every).otherwise(F.array("month"))).alias("month")).distinct()
+    shared = covers(left).join(covers(right), ["year", "month"]).select(F.col("year").alias("_y"), F.col("month").alias("_m"))
+    within = (F.col("year") == F.col("_y")) & (F.col("month").isNull() | (F.col("month") == F.col("_m")))
+    return left.join(shared, within, "left_semi"), right.join(shared, within, "left_semi")
+
+
 @query()
 def q_link_register(spark: SparkSession, sf: str) -> DataFrame:
-    """Unnamed victims and register rows one to one, in the months that both sources cover."""
+    """Unnamed victims and register rows one to one, in the months that both sources cover; victims whose date is known to the
+    year only take part in every month of it."""
     scratch = Scratch(spark)
     w = Window.partitionBy("YearMonth")
     s = T(spark, sf, "shr").dropDuplicates(["index"])
@@ -72,8 +83,7 @@ def q_link_register(spark: SparkSession, sf: str) -> DataFrame:
     weapon = F.when(F.col("weapon").isin("gun", "pistol", "handgun"), "firearm").when(F.col("weapon").isin("club", "hammer"), "blunt object").when(F.col("weapon").isin("stabbing", "sharp object"), "knife").when(F.col("weapon").isin("fists", "beating"), "personal weapon").when(F.col("weapon") == "arson", "fire").otherwise(F.nullif(F.col("weapon"), F.lit("unknown")))
     o = o.withColumns({"weapon": weapon, "circumstance": F.nullif(F.col("circumstance"), F.lit("undetermined")), "relationship": F.nullif(F.col("relationship"), F.lit("unknown relationship"))})
     left = o.join(towns, "city_id").select(*[F.col("t").alias("city_id") if c == "city_id" else c for c in right.columns])
-    months = left.select("year", "month").distinct().join(right.select("year", "month").distinct(), ["year", "month"])
-    left, right = (scratch.keep(x.join(months, ["year", "month"], "left_semi").select(*right.columns)) for x in (left, right))
+    left, right = (scratch.keep(x) for x in in_shared_months(left, right))
     job = jobs.Job(
         "unique_id", (cmp.date(), cmp.age(steps=(0, 1, 2, 5, 10)), cmp.same("victim_sex", "sex"), cmp.weapon(), cmp.circumstance(), cmp.relationship(), cmp.age("offender_age", label="offender_age")), cmp.register_rules(),
         training=((Rule("month", ("city_id", "year", "month")), ("date",)), (Rule("age and sex", ("city_id", "victim_age", "victim_sex")), ("age", "sex"))),
