@@ -63,6 +63,25 @@ def test_places(spark, limit):
     assert (1, 80) in pairs and (80, 88) in pairs and all(a < b for a, b in pairs) and not any(84 in p for p in pairs)
 
 
+NEAR = [
+    "12 Radchurch Rd, Harwick", "12 Radchucrh Rd, Harwick", "12 Radchurch Rd", "14 Radchuch Rd, Harwick",  # 0-3: a street, as rare as its misspelling
+    "7 Holt St, Emberton", "7 Holt St, Embberton", "7 Holt Ave, Embberton",  # 4-6: a town
+    "Birch Ln / Radchurch Rd, Harwick", "Radchucrh Rd and Birch Ln, Harwick", "Rad church Rd / Birchh Ave, Harwick",  # 7-9: a crossing
+    "3 Mossgate Rd NW", "3 Mosgate Rd SE", "16 3rd St, Harwick", "16 4th St, Harwick",  # 10-13: quadrants and ordinals differ
+]
+
+
+@pytest.mark.parametrize("limit", [500_000, 0])
+def test_rare_names_one_edit_apart_in_a_block(spark, limit):
+    pairs = {tuple(r) for r in place_pairs(same_places(table(spark, NEAR), broadcast_names=limit)).collect()}
+    assert pairs == {(0, 1), (0, 2), (1, 2), (4, 5), (7, 8)}
+
+
+def test_established_names_one_edit_apart_stay_two(spark):
+    raws = [f"{i} Halhaven St, Harwick" for i in range(100, 112)] + [f"{i} Falhaven St, Harwick" for i in range(100, 115)]
+    assert place_pairs(same_places(table(spark, raws))).count() == 0
+
+
 def test_empty(spark):
     assert same_places(table(spark, [])).count() == 0
     assert same_places(table(spark, [None, "", "?"])).count() == 0
