@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import categories, dates
 from tidemark.functions.names import name_parts
 from tidemark.operators import aggregates as agg
-from tidemark.operators import clustering, comparisons as cmp, jobs, validation
+from tidemark.operators import assignment, clustering, comparisons as cmp, jobs, validation
 from tidemark.operators.blocking import Rule
 from tidemark.session import Scratch
 from tidemark.session import read_table as T
@@ -63,6 +63,12 @@ def in_shared_months(left: DataFrame, right: DataFrame) -> tuple[DataFrame, Data
     return left.join(shared, within, "left_semi"), right.join(shared, within, "left_semi")
 
 
+def coded(df: DataFrame) -> DataFrame:
+    """One word for weapons that articles call differently; what is said to be unknown becomes null."""
+    weapon = F.when(F.col("weapon").isin("gun", "pistol", "handgun"), "firearm").when(F.col("weapon").isin("club", "hammer"), "blunt object").when(F.col("weapon").isin("stabbing", "sharp object"), "knife").when(F.col("weapon").isin("fists", "beating"), "personal weapon").when(F.col("weapon") == "arson", "fire").otherwise(F.nullif(F.col("weapon"), F.lit("unknown")))
+    return df.withColumns({"weapon": weapon, "circumstance": F.nullif(F.col("circumstance"), F.lit("undetermined")), "relationship": F.nullif(F.col("relationship"), F.lit("unknown relationship"))})
+
+
 @query()
 def q_link_register(spark: SparkSession, sf: str) -> DataFrame:
     """Unnamed victims and register rows one to one, in the months that both sources cover; victims whose date is known to the
@@ -80,8 +86,7 @@ def q_link_register(spark: SparkSession, sf: str) -> DataFrame:
     )
     o = T(spark, sf, "orphan_link_input").dropDuplicates(["unique_id"])
     towns = agg.modal_value(o.withColumn("t", F.nullif(F.regexp_extract("geo_address_norm", r",\s*([^,]+)$", 1), F.lit(""))), ["city_id"], "t")
-    weapon = F.when(F.col("weapon").isin("gun", "pistol", "handgun"), "firearm").when(F.col("weapon").isin("club", "hammer"), "blunt object").when(F.col("weapon").isin("stabbing", "sharp object"), "knife").when(F.col("weapon").isin("fists", "beating"), "personal weapon").when(F.col("weapon") == "arson", "fire").otherwise(F.nullif(F.col("weapon"), F.lit("unknown")))
-    o = o.withColumns({"weapon": weapon, "circumstance": F.nullif(F.col("circumstance"), F.lit("undetermined")), "relationship": F.nullif(F.col("relationship"), F.lit("unknown relationship"))})
+    o = coded(o)
     left = o.join(towns, "city_id").select(*[F.col("t").alias("city_id") if c == "city_id" else c for c in right.columns])
     left, right = (scratch.keep(x) for x in in_shared_months(left, right))
     job = jobs.Job(
@@ -92,6 +97,35 @@ def q_link_register(spark: SparkSession, sf: str) -> DataFrame:
     return jobs.run(job, left, right).matches.select("id_l", "id_r", F.round("match_probability", 6).alias("p"))
 
 
+@query()
+def q_link_unnamed_victims(spark: SparkSession, sf: str) -> DataFrame:
+    """Unnamed victims (all of them) and the named entities (all of them) they are; none of an entity that stands in the victim's
+    own article. Within an article the pairs of the largest total weight, so that no two victims of it are one entity. Unnamed
+    victims have no summary vector in these tables: there the summary tells nothing."""
+    scratch = Scratch(spark)
+    e = coded(T(spark, sf, "entity_link_input").dropDuplicates(["unique_id"])).withColumn("address_type", F.lit(None).cast("string"))
+    o = coded(T(spark, sf, "orphan_link_input").dropDuplicates(["unique_id"])).withColumn("summary_vec", F.lit(None).cast("array<double>"))
+    articles = e.select(F.col("unique_id").alias("e"), F.explode(F.split("article_ids_csv", ",")).alias("x")).select("e", F.trim("x").try_cast("bigint").alias("article_id"))
+    shared = o.select("unique_id", "article_id").join(articles, "article_id").groupBy("unique_id").agg(F.collect_set("e").alias("shared"))
+    none = F.array().cast("array<string>")
+    o = o.join(shared, "unique_id", "left").withColumn("exclusion_ids", F.array_union(F.coalesce("exclusion_ids", none), F.coalesce("shared", none)))
+    columns = [c for c in e.columns if c in o.columns and c != "loaded_at"]
+    left, right = scratch.keep(e.select(*columns), "entities"), scratch.keep(o.select(*columns, "article_id"), "orphans")
+    apart = "not array_contains(coalesce(r.exclusion_ids, array()), l.unique_id)"
+    year = f"abs(l.midpoint_day - r.midpoint_day) <= 370 and {apart}"
+    job = jobs.Job(
+        "unique_id", (cmp.date(), cmp.age(), cmp.place(), cmp.same("victim_sex", "sex"), cmp.offender(), cmp.weapon(), cmp.circumstance(), cmp.relationship(), cmp.summary(), cmp.same("victim_count"), cmp.age("offender_age", label="offender_age"), cmp.same("offender_sex"), cmp.same("victim_race", "race", tf=True)),
+        cmp.orphan_rules(),
+        training=((Rule("month", ("city_id", "year", "month"), apart), ("date",)), (Rule("age and sex", ("city_id", "victim_age", "victim_sex"), year), ("age", "sex")), (Rule("sex and street", ("city_id", "victim_sex", "geo_address_short"), apart), ("sex", "place")), (Rule("offender", ("city_id", "offender_age", "offender_sex"), year), ("offender_age", "offender_sex"))),
+        deterministic=(Rule("sure", ("city_id", "year", "month", "day", "victim_sex"), f"{cmp.BOX} and {apart}"),), recall=0.1, predict_threshold=0.45,
+    )
+    pairs = jobs.run(job, left, right.drop("article_id")).pairs.join(right.select(F.col("unique_id").alias("id_r"), F.coalesce("article_id", F.lit(-1)).alias("article_id")), "id_r")
+    lowest = F.least(F.min("match_weight").over(Window.partitionBy("article_id")), F.lit(0.0))
+    weights = pairs.withColumn("w", F.col("match_weight") - lowest + 1e-12)  # all positive
+    chosen = assignment.match_groups(weights, "article_id", "id_l", "id_r", "w").drop("w", "article_id")
+    return chosen.join(pairs, ["id_l", "id_r"]).select("id_l", "id_r", F.round("match_probability", 6).alias("p"))
+
+
 @query()
 def q_leftover_clusters(spark: SparkSession, sf: str) -> DataFrame:
     """Clusters of two or more among the unnamed victims that are left, never two of one article; the rest stay single."""
