@@ -25,6 +25,7 @@ def test_empty_sides_repeats_nulls(spark):
     assert run(spark, [row, row], []) == [("a", "gone", "")]
     assert run(spark, [row, row], [row]) == []
     assert run(spark, [(None, *row[1:])], [row]) == [("a", "new", ""), (None, "gone", "")]
+    assert run(spark, [(None, *row[1:])], [(None, *row[1:])]) == [(None, "gone", ""), (None, "new", "")]
     nan = ("a", "n", float("nan"), "1", "d")
     assert run(spark, [nan], [("a", "n", None, "1", "d")]) == []
 
@@ -35,6 +36,14 @@ def test_several_rows_of_a_key_compare_as_sets(spark):
     assert run(spark, [a, b], [a]) == [("a", "changed", "name"), ("a", "changed", "x")]
 
 
+def test_distance_of_just_the_tolerance_and_lost_blanks(spark):
+    left = [(f"k{i}", "Ann Lee", float(i), "1", "d") for i in range(50)]
+    right = [(f"k{i}", "Ann Lee" if i else "AnnLee", i + 1e-6, "1", "d") for i in range(50)]
+    got = run(spark, left, right)
+    assert len(got) == 51 and ("k0", "changed", "name") in got
+    assert run(spark, left, [(k, " ann   LEE", x + 9.9e-7, i, d) for k, _, x, i, d in left]) == []
+
+
 def test_hot_key_and_long_text(spark):
     long = "word " * 200_000
     hot = spark.range(20_000).selectExpr("'k' as k", "'n' as name", "cast(id % 3 as double) as x", "'1' as ids", "'d' as day")

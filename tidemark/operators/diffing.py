@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -9,17 +10,21 @@ from pyspark.sql import functions as F
 
 #: How a field's values are compared.
 KINDS = ("text", "number", "list", "exact")
+BLANKS = r"[\s\u00a0]+"
 
 
 def canonical_text(c: Column, kind: str = "text") -> Column:
-    """The text under which two values count as the same: lower case without white space for ``text``, the sorted
-    members for ``list`` (comma separated), the value as it is for ``exact``; null and blank are both ''."""
+    """The text under which two values count as the same: for ``text`` lower case, trimmed, a run of white space one
+    blank (a blank lost inside a name is a difference), for ``list`` the sorted members without white space (comma
+    separated), the value as it is for ``exact``; null and blank are both ''."""
     s = c.cast("string")
     if kind == "exact":
         return F.coalesce(s, F.lit(""))
-    s = F.lower(F.regexp_replace(s, r"[\s ]+", ""))
+    s = F.lower(s)
     if kind == "list":
-        s = F.array_join(F.array_sort(F.filter(F.split(s, ","), lambda x: x != "")), ",")
+        s = F.array_join(F.array_sort(F.filter(F.split(F.regexp_replace(s, BLANKS, ""), ","), lambda x: x != "")), ",")
+    else:
+        s = F.trim(F.regexp_replace(s, BLANKS, " "))
     return F.coalesce(s, F.lit(""))
 
 
@@ -33,17 +38,19 @@ def diff_tables(
 ) -> DataFrame:
     """Rows only one copy has and fields that differ: (key, diff_type, field_name).
 
-    Both sides become key-field-value cells carrying a count of +1 or -1 per side; equal cells of the two sides
-    cancel in the first aggregation (which combines before its shuffle, so a key that holds a third of all rows is
-    a few rows per task), and what is left is judged per key.
+    Both sides become key-field-value cells with a count of +1 or -1; a cell's counts are added up in the first
+    aggregation (which combines before its shuffle, so a key that holds a third of all rows is a few rows per task).
+    Cells that come to nought are gone; what does not cancel is judged per key.
 
-    ``fields`` maps a field to its kind: ``text`` (case and white space do not matter), ``number`` (values less
-    than ``tolerance`` apart are equal), ``list`` (comma-separated, the order does not matter) or ``exact``.
+    ``fields`` maps a field to its kind: ``text`` (case and surplus white space do not matter), ``number`` (values less
+    than ``tolerance`` apart are equal; distances are rounded to a thousandth of it, so that a distance of just the
+    tolerance is a difference however its binary form falls), ``list`` (comma-separated, the order does not matter) or
+    ``exact``.
 
-    Defined cases: a null key never matches anything and is reported once as gone or new, with a null key; null and
+    Defined cases: a null key never matches anything and is reported once for each copy that has one, as gone or new; null and
     blank text are equal; null and a number differ, NaN counts as null; rows delivered twice count once; where one
-    copy holds several different rows under a key, the sets of values are compared (for numbers by the smallest and
-    largest value the other copy lacks); an empty side makes every key gone or new; other columns are ignored.
+    copy holds several different rows under a key, equal values cancel and the rest must be the same set (numbers: the
+    same smallest and largest value); an empty side makes every key gone or new; other columns are ignored.
     """
     unknown = {k: v for k, v in fields.items() if v not in KINDS}
     if unknown:
@@ -58,32 +65,35 @@ def diff_tables(
 
         presence = F.struct(F.lit("").alias("f"), F.lit("").alias("v"), F.lit(None).cast("double").alias("x"))
         every = F.array(presence, *[cell(n, k) for n, k in fields.items()])
-        return df.select(F.col(f"`{key}`").alias("k"), F.inline(every)).withColumn("side", F.lit(sign))
+        return df.select(F.col(f"`{key}`").alias("k"), F.inline(every)).withColumn("sign", F.lit(sign))
 
     both = cells(left, 1).unionByName(cells(right, -1))
-    one_each = both.groupBy("k", "f", "v", "x").agg(F.max(F.col("side") == 1).alias("in_l"), F.max(F.col("side") == -1).alias("in_r"))
+    # Repeated delivery counts once: a side's count is the largest, or smallest, of its signs.
+    plus, minus = F.greatest(F.max("sign"), F.lit(0)), F.least(F.min("sign"), F.lit(0))
+    summed = both.groupBy("k", "f", "v", "x").agg((plus + minus).alias("n"))
     # A presence cell stays even when it cancels: a cell that differs counts only where both copies have the key.
-    rest = one_each.filter((F.col("f") == "") | (F.col("in_l") != F.col("in_r")))
+    rest = summed.filter((F.col("f") == "") | (F.col("n") != 0))
 
-    def only(name: str, kind: str) -> Column:
+    def differs(name: str, kind: str) -> Column:
         here = F.col("f") == name
-        l, r = here & F.col("in_l"), here & F.col("in_r")
-        any_l, any_r = F.coalesce(F.max(l), F.lit(False)), F.coalesce(F.max(r), F.lit(False))
         if kind != "number":
-            return any_l | any_r
-        x = F.col("x")
-        lone_null = F.coalesce(F.max(here & x.isNull()), F.lit(False))
-        far = lambda fn: F.abs(fn(F.when(l, x)) - fn(F.when(r, x))) >= tolerance
-        one_sided = (any_l != any_r) | lone_null
-        return one_sided | F.coalesce(far(F.min) | far(F.max), F.lit(False))
-
-    here = F.col("f") == ""
-    judged = rest.groupBy("k").agg(
-        F.max(here & F.col("in_l")).alias("has_l"),
-        F.max(here & F.col("in_r")).alias("has_r"),
-        F.array_compact(F.array(*[F.when(only(n, k), F.lit(n)) for n, k in fields.items()])).alias("names"),
-    )
+            return F.max(here)
+        x = F.when(here, F.col("x"))
+        l, r = F.when(F.col("n") > 0, x), F.when(F.col("n") < 0, x)
+        lone_null = F.coalesce(F.max(here & F.col("x").isNull()), F.lit(False))
+        places = max(0, round(3 - math.log10(tolerance))) if tolerance > 0 else 15
+        far = lambda fn: F.round(F.abs(fn(l) - fn(r)), places) >= tolerance
+        one_sided = F.max(l).isNull() != F.max(r).isNull()
+        return F.max(here) & (one_sided | lone_null | F.coalesce(far(F.min) | far(F.max), F.lit(False)))
+
+    present = F.max(F.when(F.col("f") == "", F.col("n")))
+    judged = rest.groupBy("k").agg(present.alias("n"), F.array_compact(F.array(*[F.when(differs(n, k), F.lit(n)) for n, k in fields.items()])).alias("names"))
     gone, new, changed = labels
-    kind = F.when(~F.col("has_r"), gone).when(~F.col("has_l"), new).otherwise(changed)
-    names = F.when(F.col("has_l") & F.col("has_r"), F.col("names")).otherwise(F.array(F.lit("")))
-    return judged.select(F.col("k").alias(key), kind.alias("diff_type"), F.explode(names).alias("field_name"))
+    mark = lambda label, names: F.transform(names, lambda f: F.struct(F.lit(label).alias("t"), f.alias("f")))
+    whole, sides = F.array(F.lit("")), F.col("n")
+    cases = (
+        F.when(sides > 0, mark(gone, whole)).when(sides < 0, mark(new, whole))
+        .when(F.col("k").isNull(), F.concat(mark(gone, whole), mark(new, whole)))  # null is no key: both copies' rows stand alone
+        .otherwise(mark(changed, F.col("names")))
+    )
+    return judged.select("k", F.inline(cases)).select(F.col("k").alias(key), F.col("t").alias("diff_type"), F.col("f").alias("field_name"))

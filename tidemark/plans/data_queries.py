@@ -57,19 +57,19 @@ _P5 = """
 with t as (
   select distinct source, match_uid,
     e_mid, prob, cast(v_age as double) as v_age,
-    coalesce(lower(regexp_replace(v_name, '\\s+', '', 'g')), '') as v_name,
-    coalesce(lower(regexp_replace(v_sex, '\\s+', '', 'g')), '') as v_sex,
-    coalesce(lower(regexp_replace(v_race, '\\s+', '', 'g')), '') as v_race,
-    coalesce(lower(regexp_replace(weapon, '\\s+', '', 'g')), '') as weapon,
-    coalesce(lower(regexp_replace(circumstance, '\\s+', '', 'g')), '') as circumstance,
+    coalesce(lower(trim(regexp_replace(v_name, '\\s+', ' ', 'g'))), '') as v_name,
+    coalesce(lower(trim(regexp_replace(v_sex, '\\s+', ' ', 'g'))), '') as v_sex,
+    coalesce(lower(trim(regexp_replace(v_race, '\\s+', ' ', 'g'))), '') as v_race,
+    coalesce(lower(trim(regexp_replace(weapon, '\\s+', ' ', 'g'))), '') as weapon,
+    coalesce(lower(trim(regexp_replace(circumstance, '\\s+', ' ', 'g'))), '') as circumstance,
     coalesce(array_to_string(list_sort(string_split(regexp_replace(article_ids_csv, '\\s+', '', 'g'), ',')), ','), '') as article_ids_csv,
     coalesce(cast(matched_on as varchar), '') as matched_on
   from shr_matches_diffs),
 l as (select * from t where source = 1), r as (select * from t where source = 2),
 b as (select l.match_uid,
-    case when (l.e_mid is null) <> (r.e_mid is null) or abs(l.e_mid - r.e_mid) >= 0.000001 then 1 end as e_mid,
-    case when (l.prob is null) <> (r.prob is null) or abs(l.prob - r.prob) >= 0.000001 then 1 end as prob,
-    case when (l.v_age is null) <> (r.v_age is null) or abs(l.v_age - r.v_age) >= 0.000001 then 1 end as v_age,
+    case when (l.e_mid is null) <> (r.e_mid is null) or round(abs(l.e_mid - r.e_mid), 9) >= 0.000001 then 1 end as e_mid,
+    case when (l.prob is null) <> (r.prob is null) or round(abs(l.prob - r.prob), 9) >= 0.000001 then 1 end as prob,
+    case when (l.v_age is null) <> (r.v_age is null) or round(abs(l.v_age - r.v_age), 9) >= 0.000001 then 1 end as v_age,
     case when l.v_name <> r.v_name then 1 end as v_name, case when l.v_sex <> r.v_sex then 1 end as v_sex,
     case when l.v_race <> r.v_race then 1 end as v_race, case when l.weapon <> r.weapon then 1 end as weapon,
     case when l.circumstance <> r.circumstance then 1 end as circumstance,
