@@ -65,3 +65,15 @@ def test_vectors(spark):
 def test_jaro_winkler(a, b):
     want = duckdb.sql(f"select jaro_winkler_similarity('{a}', '{b}') as s").fetchall()[0][0]
     assert jaro_winkler_pair(a, b) == pytest.approx(want, abs=1e-9)
+
+
+def test_roots_near_each_other(spark):
+    rows = ["He was sh ot, and a day later he died", "died" + "." * 300 + "shot", "died" + "." * 301 + "shot", "shot\ndied", "shot shot shot dead", "unshot died", "", "the dead slept"]
+    assert column(spark, rows, "string", text.mentions_homicide(F.col("c"))) == [(True,), (True,), (False,), (False,), (True,), (False,), (False,), (False,)]
+
+
+def test_geocoder_forms(spark):
+    got = column(spark, ["500 Good Hope Rd, Washington, D.C.", "Good Hope Rd, Washington DC", "12A 1/2 Oak St.", "111 STREET", "St James Pl"], "string", addresses.geocoder_key(F.col("c")))
+    assert [g[0] for g in got] == ["500 GOOD HOPE ROAD", "MARION BARRY AVENUE", "12 OAK STREET", "111TH STREET", "ST JAMES PLACE"]
+    got = column(spark, ["90 New York Avenue, Jamaica", "90 New York Avenue, Albany", "East Main St IRT Subway Station at 5th, Bronx"], "string", addresses.station_name(F.col("c")))
+    assert [g[0] for g in got] == ["90 GUY R BREWER BOULEVARD, Jamaica", "90 New York Avenue, Albany", "Main St Station, Bronx"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -53,21 +54,25 @@ def contains_any_case(c: Column, part: str) -> Column:
     return c.ilike(f"%{escaped}%")
 
 
-def roots_pattern(roots: Iterable[str]) -> str:
-    """Words that begin with one of the roots, whose letters one blank may split. The boundary is spelled as a look-behind
-    so that it means the same in every engine."""
-    split = "|".join(r"\s?".join(r) for r in roots)
-    return rf"(?<![A-Za-z0-9_])(?:{split})[A-Za-z0-9_]*"
+def _word_of(roots: Iterable[str]) -> str:
+    """A root at a word's start; scanning and hyphenation may have put one blank between any two letters."""
+    loose = [re.sub(r"\B", r"\\s?", root) for root in roots]
+    return "(?:" + "|".join(loose) + ")"
 
 
-def near_pattern(a: str, b: str, most: int = ROOT_DISTANCE) -> str:
-    return rf"{a}.{{0,{most}}}?{b}|{b}.{{0,{most}}}?{a}"
+def mentions_homicide(c: Column, most: int = ROOT_DISTANCE) -> Column:
+    """An absolute root, or a conditional one near a root of death: at most ``most`` characters between the words, on
+    one line.
 
-
-def mentions_homicide(c: Column) -> Column:
-    """An absolute root, or a conditional one near a root of death on the same line."""
-    near = near_pattern(roots_pattern(CONDITIONAL_ROOTS), roots_pattern(DEATH_ROOTS))
-    return F.coalesce(c.rlike("(?i)" + roots_pattern(ABSOLUTE_ROOTS)) | c.rlike("(?i)" + near), F.lit(False))
+    The text is cut at every word with a conditional or death root. Of any two words of different kinds some two
+    neighbours differ too and are no farther apart, so only the stretches between neighbours are measured."""
+    start, rest = "(?i)(?<![A-Za-z0-9_])", "[A-Za-z0-9_]*"
+    either = F.lit(f"{start}(?:({_word_of(CONDITIONAL_ROOTS)})|{_word_of(DEATH_ROOTS)}){rest}")
+    kinds = F.transform(F.regexp_extract_all(c, either, F.lit(1)), lambda w: w != "")  # true: conditional
+    between = F.split(c, either, F.lit(-1))
+    close = lambda i: (F.get(kinds, i - 1) != F.get(kinds, i)) & (F.length(F.get(between, i)) <= most) & ~F.contains(F.get(between, i), F.lit("\n"))
+    near = (F.size(kinds) > 1) & F.exists(F.sequence(F.lit(1), F.greatest(F.size(kinds) - 1, F.lit(1))), close)
+    return F.coalesce(c.rlike(start + _word_of(ABSOLUTE_ROOTS)) | near, F.lit(False))
 
 
 def keywords(c: Column, words: Iterable[str]) -> Column:

@@ -49,21 +49,26 @@ def q_soundex_block(spark: SparkSession, sf: str) -> DataFrame:
 
 
 
-
 def _address_sql() -> str:
-    s = r"regexp_replace(regexp_replace(regexp_replace(upper(trim(addr_raw)), '\.', '', 'g'), '^([0-9]+)-?A\b', '\1'), '\b(\d+)\s+1/2\s+', '\1 ', 'g')"
-    for short, full in addresses.STREET_TYPES.items():
-        s = rf"regexp_replace({s}, '\b{short}\b', '{full}', 'g')"
-    s = rf"regexp_replace({s}, '(\s)ST\b', '\1STREET', 'g')"
-    for word, number in addresses.ORDINALS.items():
-        s = rf"regexp_replace({s}, '\b{word}\b', '{number}', 'g')"
-    return rf"""with a as (select addr_id, {s} as t from mar_addr_map),
-    b as (select addr_id, t, try_cast(nullif(regexp_extract(t, '\b([0-9]+)\s+STREET\b', 1), '') as integer) as n from a),
-    c as (select addr_id, case when n is null then t else regexp_replace(t, '\b([0-9]+)\s+STREET\b', '\1' || case when n % 100 between 10 and 20 then 'TH' when n % 10 = 1 then 'ST' when n % 10 = 2 then 'ND' when n % 10 = 3 then 'RD' else 'TH' end || ' STREET', 'g') end as t from b)
-    select addr_id, trim(regexp_replace(regexp_replace(regexp_replace(t, '\bBLOCK\b', 'BLOCK OF', 'g'), '\bBLOCK OF OF\b', 'BLOCK OF', 'g'), '\s+', ' ', 'g')) as addr from c"""
-
-
-@query(_address_sql().replace(r"'\bBLOCK OF OF\b'", r"'\bBLOCK OF\s+OF\b'"))
+    full = ", ".join(f"'{k}': '{v}'" for k, v in (addresses.STREET_TYPES | addresses.ORDINALS).items())
+    types = ", ".join(f"'{t}'" for t in sorted({*addresses.STREET_TYPES, *addresses.STREET_TYPES.values(), "ST", "STREET", "WAY"}))
+    blank = lambda i: rf"coalesce(regexp_matches(p[{i}], '^\s+$'), false)"
+    digits = lambda i: rf"coalesce(regexp_matches(p[{i}], '^\d+$'), false)"
+    street = lambda i: rf"coalesce(p[{i}] = 'STREET' or (p[{i}] = 'ST' and {i} > 1 and regexp_matches(p[{i} - 1], '\s$')), false)"
+    half = lambda j: rf"coalesce({j} > 2 and p[{j}] = '1' and p[{j} + 1] = '/' and p[{j} + 2] = '2' and ({digits(f'{j} - 2')} or regexp_matches(p[{j} - 2], '^\\d+A$') and {j} = 3 or {j} = 5 and {digits('1')} and coalesce(p[2] = '-' and p[3] = 'A', false)) and {blank(f'{j} - 1')} and {blank(f'{j} + 3')} and regexp_matches(p[{j} + 4], '^\w') and {blank(f'{j} + 5')} and p[{j} + 6] in ({types}), false)"
+    return rf"""with a as (select addr_id, regexp_extract_all(upper(replace(trim(addr_raw), '.', '')), '\w+|\W+') as p, map {{{full}}} as m from mar_addr_map),
+    b as (select addr_id, list_transform(p, lambda x, i: case
+      when i = 1 and regexp_matches(x, '^\d+A$') then rtrim(x, 'A')
+      when i in (2, 3) and {digits('1')} and coalesce(p[2] = '-' and p[3] = 'A', false) then ''
+      when {half('i')} or {half('(i - 1)')} or {half('(i - 2)')} then ''
+      when {street('i')} then 'STREET'
+      when {digits('i')} and {blank('i + 1')} and {street('(i + 2)')} then cast(cast(x as bigint) as varchar) || case when (cast(x as bigint) // 10) % 10 = 1 then 'TH' else coalesce(['TH', 'ST', 'ND', 'RD'][cast(x as bigint) % 10 + 1], 'TH') end
+      when x = 'BLOCK' and not ({blank('i + 1')} and coalesce(p[i + 2] = 'OF', false)) then 'BLOCK OF'
+      else coalesce(m[x], x) end) as q from a)
+    select addr_id, trim(regexp_replace(array_to_string(q, ''), '\s+', ' ', 'g')) as addr from b"""
+
+
+@query(_address_sql())
 def q_address_norm(spark: SparkSession, sf: str) -> DataFrame:
     return T(spark, sf, "mar_addr_map").select("addr_id", addresses.normal_address(F.col("addr_raw")).alias("addr"))
 
@@ -120,9 +125,11 @@ def q_summary_norm(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _homicide_sql() -> str:
-    absolute, near = text.roots_pattern(text.ABSOLUTE_ROOTS), text.near_pattern(text.roots_pattern(text.CONDITIONAL_ROOTS), text.roots_pattern(text.DEATH_ROOTS))
-    plain = lambda p: p.replace("(?<![A-Za-z0-9_])", r"\b")
-    return rf"""select doc_id, case when not (regexp_matches(text, '(?i){plain(absolute)}') or regexp_matches(text, '(?i){plain(near)}')) then 'N' when not regexp_matches(text, '\b(Fenminster|Gloudown|Frodmore|Whitfield|Radchurch)\b') then 'O' else 'M' end as class from documents"""
+    word = lambda roots: "(" + "|".join("[ \\t\\n\\f\\r]?".join(r) for r in roots) + ")"
+    either = rf"(?i)\b(?:{word(text.CONDITIONAL_ROOTS)}|(?:{word(text.DEATH_ROOTS)[1:-1]}))\w*"
+    return rf"""with k as (select doc_id, text, list_transform(regexp_extract_all(text, '{either}', 1), lambda w: coalesce(w, '') <> '') as c, regexp_split_to_array(text, '{either}') as g from documents),
+    n as (select *, len(list_filter(range(1, len(c)), lambda i: c[i] <> c[i + 1] and len(g[i + 1]) <= {text.ROOT_DISTANCE} and not contains(g[i + 1], chr(10)))) > 0 as near from k)
+    select doc_id, case when not (regexp_matches(text, '(?i)\b{word(text.ABSOLUTE_ROOTS)}') or near) then 'N' when not regexp_matches(text, '\b(Fenminster|Gloudown|Frodmore|Whitfield|Radchurch)\b') then 'O' else 'M' end as class from n"""
 
 
 @query(_homicide_sql())
@@ -131,9 +138,9 @@ def q_classify_text(spark: SparkSession, sf: str) -> DataFrame:
     return T(spark, sf, "documents").select("doc_id", F.when(~text.mentions_homicide(F.col("text")), "N").when(~place, "O").otherwise("M").alias("class"))
 
 
-@query(r"""select doc_id, list_sort(list_distinct(regexp_extract_all(lower(text), '\b(police|judge|detective|court)\b', 1))) as words from documents where lang = 'en'""")
+@query(r"""select doc_id, list_sort(list_distinct(regexp_extract_all(lower(text), '\b(police|judge|detective|court)\b', 1))) as words from documents""")
 def q_keywords(spark: SparkSession, sf: str) -> DataFrame:
-    return T(spark, sf, "documents").filter("lang = 'en'").select("doc_id", text.keywords(F.col("text"), ("police", "judge", "detective", "court")).alias("words"))
+    return T(spark, sf, "documents").select("doc_id", text.keywords(F.col("text"), ("police", "judge", "detective", "court")).alias("words"))
 
 
 @query(r"""select doc_id, regexp_replace(title, '[aeiou]', '*') as first_only, regexp_replace(title, '[aeiou]', '*', 'g') as every, rtrim(title, 'ds,. ') as clipped from documents""")
