@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm.packing import fill_containers, pack_histogram, token_count
+from tidemark.llm.packing import _Sizes, best_fit, dominating, fill_containers, pack_histogram, reduce_histogram, token_count
 
 
 @pytest.mark.parametrize("seed", range(8))
@@ -28,6 +28,63 @@ def test_dominance_takes_exact_pairs():
     assert pack_histogram({}, 100) == ([], 0)
 
 
+def fewest(items, capacity):
+    """The least number of containers, by dynamic programming over subsets."""
+    best = {0: (0, capacity)}
+    for mask in range(1, 1 << len(items)):
+        options = []
+        for i, s in enumerate(items):
+            if mask >> i & 1:
+                n, used = best[mask ^ (1 << i)]
+                options.append((n, used + s) if used + s <= capacity else (n + 1, s))
+        best[mask] = min(options)
+    return best[(1 << len(items)) - 1][0]
+
+
+def test_dominating_sets_keep_the_optimum():
+    rng, seen = random.Random(5), Counter()
+    for _ in range(1500):
+        lo, hi = rng.choice([(20, 60), (25, 50), (15, 45), (28, 36), (1, 99)])
+        items = sorted(rng.randint(lo, hi) for _ in range(rng.randint(3, 8)))
+        best = fewest(items, 100)
+        for w in set(items):
+            beside = dominating(_Sizes(Counter(items)), w, 100)
+            if beside is not None:
+                rest = Counter(items) - Counter((w, *beside))
+                assert w + sum(beside) <= 100 and sum(rest.values()) == len(items) - 1 - len(beside)
+                assert 1 + fewest(list(rest.elements()), 100) == best, (items, w, beside)
+                seen[len(beside)] += 1
+        sizes = _Sizes(Counter(items))
+        fixed = reduce_histogram(sizes, 100)
+        left = [s for s, n in sizes.count.items() for _ in range(n)]
+        assert sum(n for _, n in fixed) + (fewest(left, 100) if left else 0) == best
+    assert min(seen[k] for k in (0, 1, 2)) > 50
+
+
+def test_a_pair_with_the_largest_item_need_not_dominate():
+    items = [21, 23, 26, 26, 27, 30, 32, 34, 35, 44]
+    assert dominating(_Sizes(Counter(items)), 44, 100) is None and fewest(items, 100) == 3
+
+
+def plain_best_fit(items, capacity):
+    rooms = []
+    for s in sorted(items, reverse=True):
+        fits = [i for i, r in enumerate(rooms) if r >= s]
+        if fits:
+            rooms[min(fits, key=lambda i: rooms[i])] -= s
+        else:
+            rooms.append(capacity - s)
+    return sorted(rooms)
+
+
+def test_best_fit_equals_one_by_one():
+    rng = random.Random(9)
+    for _ in range(300):
+        items = [rng.randint(1, rng.choice([20, 60, 100])) for _ in range(rng.randint(1, 120))]
+        fillings = best_fit(_Sizes(Counter(items)), 100)
+        assert sorted(100 - sum(f) for f, n in fillings for _ in range(n)) == plain_best_fit(items, 100)
+
+
 def test_tokens_are_counted_as_by_the_definition(spark):
     texts = ["a b-c, d...", "né 42 x_y ½ ²", "  ", "", None, "“q” — it’s", "tab\tnl\n\x1c!", "漢字 かな", "é ok"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")

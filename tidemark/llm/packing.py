@@ -22,14 +22,12 @@ def token_count(text: Column) -> Column:
 
 
 class _Sizes:
-    """A multiset of sizes with the searches the reduction needs; one entry per distinct size."""
+    """A multiset of sizes, one entry per distinct size, with the searches the reduction needs. ``gone`` is left out of
+    a search without being taken."""
 
     def __init__(self, counts: dict[int, int]):
-        self.count = dict(counts)
-        self.order = sorted(counts)
-
-    def __bool__(self) -> bool:
-        return bool(self.order)
+        self.count = {s: n for s, n in counts.items() if n > 0}
+        self.order = sorted(self.count)
 
     def take(self, size: int, n: int) -> None:
         self.count[size] -= n
@@ -37,146 +35,139 @@ class _Sizes:
             del self.count[size]
             self.order.pop(bisect.bisect_left(self.order, size))
 
-    def up_to(self, limit: int) -> int | None:
+    def left(self, size: int, gone: tuple[int, ...]) -> int:
+        return self.count[size] - gone.count(size)
+
+    def up_to(self, limit: int, gone: tuple[int, ...]) -> int | None:
         """The largest size that is at most ``limit``."""
-        i = bisect.bisect_right(self.order, limit)
-        return self.order[i - 1] if i else None
+        i = bisect.bisect_right(self.order, limit) - 1
+        while i >= 0 and not self.left(self.order[i], gone):
+            i -= 1
+        return self.order[i] if i >= 0 else None
 
-    def smallest(self, n: int) -> list[int]:
+    def smallest(self, n: int, gone: tuple[int, ...]) -> list[int]:
         """The n smallest items (fewer if there are not that many)."""
         out: list[int] = []
         for s in self.order:
-            out += [s] * min(n - len(out), self.count[s])
+            out += [s] * min(n - len(out), self.left(s, gone))
             if len(out) == n:
                 break
         return out
 
-    def best_pair(self, limit: int) -> tuple[int, int] | None:
-        """Two items with the largest sum of at most ``limit``."""
-        order, lo, hi, best = self.order, 0, len(self.order) - 1, None
+    def best_pair(self, limit: int, gone: tuple[int, ...], above: int = 0) -> tuple[int, int] | None:
+        """Two items, both larger than ``above``, with the largest sum of at most ``limit``; the larger one first."""
+        lo, hi, best, most = bisect.bisect_right(self.order, above), bisect.bisect_right(self.order, limit) - 1, None, 0
         while lo <= hi:
-            total = order[lo] + order[hi]
-            if total > limit:
+            small, large = self.order[lo], self.order[hi]
+            if not self.left(large, gone):
                 hi -= 1
-                continue
-            if (lo < hi or self.count[order[lo]] > 1) and (best is None or total > sum(best)):
-                best = (order[hi], order[lo])
-                if total == limit:
-                    break
-            lo += 1
-        return best
-
-
-def pack_histogram(counts: dict[int, int], capacity: int) -> tuple[list[tuple[tuple[int, ...], int]], int]:
-    """Fillings as (sizes, number of containers filled so), and how many containers the reduction fixed.
-
-    The Martello-Toth reduction looks at the largest open item w and the room c - w beside it. The set {w}, {w, f}
-    with f the largest item that fits, or {w, a, b} with the best pair, dominates every other filling with w if
-    (1) nothing else fits; (2) f fills the room exactly, or no two other items fit, then any filling holds at
-    most one more item and none is larger than f; (3) no three other items fit and f is at least as large as the
-    best pair; or the pair is at least as large as any other filling and contains f. Such sets are fixed for good.
-    Where none dominates, the container is filled best-fit: the largest size that fits, again and again, with the
-    last two places chosen together so that the least room stays.
-
-    Equal fillings are made at once, as often as the counts allow, so the work depends on the number of distinct
-    sizes (at most ``capacity``), not of items.
-    """
-    sizes, patterns, fixed = _Sizes(counts), [], 0
-    while sizes:
-        w = sizes.order[-1]
-        room = capacity - w
-        sizes_left = sizes.count[w]
-        probe = _Without(sizes, w)
-        fill, dominant = _dominating(probe, room)
-        if not dominant:
-            fill, left = [], room
-            while True:
-                view = _Without(sizes, w, *fill)
-                f = view.up_to(left)
-                if f is None:
-                    break
-                pair = view.best_pair(left)
-                # Once no three more fit, the best pair or the best single item closes the container.
-                if len(view.smallest(3)) < 3 or sum(view.smallest(3)) > left:
-                    fill += list(pair) if pair and sum(pair) > f else [f]
-                    break
-                fill.append(f)
-                left -= f
-        pattern = (w, *fill)
-        uses = {s: pattern.count(s) for s in set(pattern)}
-        times = min(sizes.count[s] // n for s, n in uses.items())
-        assert times >= 1 and sizes_left >= 1
-        for s, n in uses.items():
-            sizes.take(s, n * times)
-        patterns.append((pattern, times))
-        fixed += times * dominant
-    return patterns, fixed
-
-
-class _Without:
-    """A view of the sizes less some items, without copying."""
-
-    def __init__(self, sizes: _Sizes, *gone: int):
-        self.sizes, self.gone = sizes, {}
-        for g in gone:
-            self.gone[g] = self.gone.get(g, 0) + 1
-
-    def left(self, s: int) -> int:
-        return self.sizes.count[s] - self.gone.get(s, 0)
-
-    def up_to(self, limit: int) -> int | None:
-        order = self.sizes.order
-        i = bisect.bisect_right(order, limit) - 1
-        while i >= 0 and not self.left(order[i]):
-            i -= 1
-        return order[i] if i >= 0 else None
-
-    def smallest(self, n: int) -> list[int]:
-        out: list[int] = []
-        for s in self.sizes.order:
-            out += [s] * min(n - len(out), self.left(s))
-            if len(out) >= n:
-                break
-        return out
-
-    def best_pair(self, limit: int) -> tuple[int, int] | None:
-        order = self.sizes.order
-        lo, hi, best, most = 0, bisect.bisect_right(order, limit) - 1, None, 0
-        while lo <= hi:
-            if not self.left(order[hi]):
-                hi -= 1
-                continue
-            if not self.left(order[lo]):
+            elif not self.left(small, gone):
                 lo += 1
-                continue
-            total = order[lo] + order[hi]
-            if total > limit or (lo == hi and self.left(order[lo]) < 2):
+            elif small + large > limit or (lo == hi and self.left(small, gone) < 2):
                 hi -= 1
-                continue
-            if total > most:
-                best, most = (order[hi], order[lo]), total
-                if total == limit:
-                    break
-            lo += 1
+            else:
+                if small + large > most:
+                    best, most = (large, small), small + large
+                lo += 1
         return best
 
 
-def _dominating(probe: _Without, room: int) -> tuple[list[int], bool]:
-    f = probe.up_to(room)
+def dominating(sizes: _Sizes, w: int, capacity: int) -> tuple[int, ...] | None:
+    """What goes beside an item of size w in a set that dominates every feasible set with w, or None.
+
+    A set dominates another if the other's items can be parted into groups that each fit the place of one of its items:
+    exchanging them then never costs a container. With f the largest item that fits the room beside w,
+    {w} dominates if nothing fits; {w, f} if f fills the room, or no two items fit (any other set has one item, at most
+    f), or no three fit and f is at least as large as the best pair. {w, f, b}, the best pair that has f, dominates if
+    no three items fit and every feasible pair has an item of at most b, or fits into f's place as a whole: a pair with f
+    and more than b does not fit, as the best pair is the largest; a pair with at most b has the other item at most f.
+    """
+    gone, room = (w,), capacity - w
+    f = sizes.up_to(room, gone)
     if f is None:
-        return [], True
+        return ()
     if f == room:
-        return [f], True
-    few = probe.smallest(3)
+        return (f,)
+    few = sizes.smallest(3, gone)
     if len(few) < 2 or few[0] + few[1] > room:
-        return [f], True
-    if len(few) < 3 or sum(few) > room:
-        pair = probe.best_pair(room)
-        if f >= sum(pair):
-            return [f], True
-        if f in pair or sum(pair) == room and pair[0] == f:
-            return list(pair), True
-    return [], False
+        return (f,)
+    if len(few) == 3 and sum(few) <= room:
+        return None
+    a, b = sizes.best_pair(room, gone)
+    if f >= a + b:
+        return (f,)
+    if a != f:
+        return None
+    other = sizes.best_pair(room, (w, a), above=b)
+    return (a, b) if other is None or sum(other) <= a else None
+
+
+def reduce_histogram(sizes: _Sizes, capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """Martello-Toth reduction: every item, the largest first, is tried for a dominating set, which is fixed for good;
+    sets of equal sizes are fixed at once, as removing items never makes a dominating set of those left cease to be one.
+    Passes go on until one fixes nothing. ``sizes`` keeps the shrunk instance."""
+    fixed: list[tuple[tuple[int, ...], int]] = []
+    moved = True
+    while moved:
+        moved = False
+        for w in sizes.order[::-1]:
+            while w in sizes.count:
+                beside = dominating(sizes, w, capacity)
+                if beside is None:
+                    break
+                pattern = (w, *beside)
+                times = min(sizes.count[s] // pattern.count(s) for s in pattern)
+                for s in set(pattern):
+                    sizes.take(s, pattern.count(s) * times)
+                fixed.append((pattern, times))
+                moved = True
+    return fixed
+
+
+def best_fit(sizes: _Sizes, capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """Best fit of the items, largest first: each goes where it leaves the least room. Containers filled alike are one
+    entry with a count, so the work grows with the number of distinct sizes: an item's container stays the fullest one
+    that fits until it is full for this size, so containers take as many of a size as they hold, one after the other."""
+    rooms: dict[int, list[list]] = {}  # room -> [filling, number of containers]
+    open_: list[int] = []
+
+    def put(filling: tuple[int, ...], room: int, n: int) -> None:
+        if n:
+            if room not in rooms:
+                bisect.insort(open_, room)
+            rooms.setdefault(room, []).append([filling, n])
+
+    for s in reversed(sizes.order):
+        n = sizes.count[s]
+        while n:
+            i = bisect.bisect_left(open_, s)
+            room = open_[i] if i < len(open_) else capacity
+            each = room // s
+            if i < len(open_):
+                filling, have = rooms[room].pop()
+                if not rooms[room]:
+                    del rooms[room]
+                    open_.pop(i)
+            else:
+                filling, have = (), -(-n // each)
+            full = min(have, n // each)
+            put(filling + (s,) * each, room - s * each, full)
+            n -= full * each
+            have -= full
+            if have and n:  # the last ones do not fill a whole container
+                put(filling + (s,) * n, room - s * n, 1)
+                n, have = 0, have - 1
+            put(filling, room, have if filling else 0)
+    return [(filling, n) for room in sorted(rooms) for filling, n in rooms[room]]
+
+
+def pack_histogram(counts: dict[int, int], capacity: int) -> tuple[list[tuple[tuple[int, ...], int]], int]:
+    """Fillings as (sizes, number of containers filled so), and how many containers the reduction fixed: the dominance
+    reduction, then best fit for what is left. The work depends on the number of distinct sizes (at most
+    ``capacity``), not of items."""
+    sizes = _Sizes(counts)
+    fixed = reduce_histogram(sizes, capacity)
+    return fixed + best_fit(sizes, capacity), sum(n for _, n in fixed)
 
 
 def fill_containers(
@@ -226,7 +217,7 @@ def fill_containers(
     n_containers = max(1, base + full)
 
     # Rank within a size: the offset of the block plus the row's number in it.
-    blocks = max(1, -(-rows // block_rows))
+    blocks = max(1, min(-(-rows // block_rows), 100_000))  # beyond, blocks grow; the offsets stay one task's small work
     parts = slim.withColumns({"s": rest.cast("int"), "block": F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int")})
     by_size = Window.partitionBy("s").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = parts.filter("s > 0").groupBy("s", "block").agg(F.count("*").alias("c")).select("s", "block", F.coalesce(F.sum("c").over(by_size), F.lit(0)).alias("offset"))

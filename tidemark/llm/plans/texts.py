@@ -28,6 +28,19 @@ def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def p8_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every filling must hold: all documents and tokens there once, pieces as many as must be, no container too
+    full, no article split that fits, its pieces joining without gaps."""
+    placed = p8_containers(spark, sf_dir)
+    per_doc = placed.groupBy("doc_id").agg(F.sum("size").alias("n"), F.count("*").alias("pieces"), F.max(F.col("first") + F.col("size")).alias("end"), F.countDistinct("first").alias("starts"))
+    per_container = placed.groupBy("container_id").agg(F.sum("size").alias("used"))
+    docs = per_doc.agg(
+        F.count("*").alias("documents"), F.sum("n").alias("tokens"), F.sum("pieces").alias("pieces"),
+        F.count_if((F.col("pieces") > 1) & (F.col("n") <= CAPACITY)).alias("split_needlessly"), F.count_if((F.col("end") != F.col("n")) | (F.col("starts") != F.col("pieces"))).alias("gaps"),
+    )
+    return docs.crossJoin(per_container.agg(F.count_if(F.col("used") > CAPACITY).alias("too_full"), F.count_if(F.col("used") < 1).alias("empty")))  # one row each
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p9_leaks(spark, sf_dir).select("doc_id", "item_id").distinct()
 
@@ -44,5 +57,10 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return junk_probability(read_table(spark, sf_dir, "documents")).filter("junk >= 0.5").select("doc_id")
 
 
-QUERIES = {"p10_found": p10_found, "p10_statistics": p10_statistics, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_found": p9_found, "p9_leaks": p9_leaks}
-ORACLE: dict[str, str] = {}
+QUERIES = {"p10_found": p10_found, "p10_statistics": p10_statistics, "p8_containers": p8_containers, "p8_fill": p8_fill, "p8_invariants": p8_invariants, "p9_found": p9_found, "p9_leaks": p9_leaks}
+
+_TOKENS = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s\x1c-\x1f\x{85}\p{Z}]+"
+ORACLE = {
+    "p8_invariants": rf"""select count(*) as documents, sum(n) as tokens, sum(greatest(1, cast(ceil(n / {CAPACITY}.0) as bigint))) as pieces, 0 as split_needlessly, 0 as gaps, 0 as too_full, 0 as empty
+from (select doc_id, coalesce(len(regexp_extract_all(text, '{_TOKENS}')), 0) as n from documents)""",
+}
