@@ -1,7 +1,8 @@
 import numpy as np
 import pytest
 
-from tidemark.llm.prose import FEATURES, BoostedTrees, document_statistics, junk_probability, statistics, weak_labels
+from tests.llm.checked_documents import JUNK_IDS, PROSE_IDS
+from tidemark.llm.prose import FEATURES, BoostedTrees, document_statistics, junk_probability, statistics, train, weak_labels
 from tidemark.llm.prose_holdout import JUNK, PROSE
 
 
@@ -40,13 +41,36 @@ def test_weak_labels_agree_with_hand_checked_ones():
     assert said.mean() > 0.7 and (y[said] == truth[said]).mean() > 0.95
 
 
-def test_held_out_accuracy(spark):
-    """Trained on one table's weak labels, judged on hand-checked texts that the fit has not seen."""
+def assess(p, truth):
+    """Accuracy, Brier score and expected calibration error over five bins."""
+    bins = np.minimum((p * 5).astype(int), 4)
+    off = sum(abs(p[bins == b].sum() - truth[bins == b].sum()) for b in range(5)) / len(p)
+    return ((p >= 0.5) == truth).mean(), ((p - truth) ** 2).mean(), off
+
+
+def test_held_out_accuracy_and_calibration(spark):
+    """Fitted to weak labels without the checked documents, calibrated on the texts of prose_holdout or on one half of
+    the checked documents, judged on documents neither step has seen."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
-    checked = spark.createDataFrame([(-1 - i, t) for i, t in enumerate(PROSE + JUNK)], "doc_id bigint, text string")
-    p = {r["doc_id"]: r["junk"] for r in junk_probability(docs.unionByName(checked)).collect()}
-    right = [(p[-1 - i] >= 0.5) == (i >= len(PROSE)) for i in range(len(PROSE) + len(JUNK))]
-    assert sum(right) >= 0.9 * len(right)
+    ids = [*PROSE_IDS, *JUNK_IDS]
+    truth = np.array([0] * len(PROSE_IDS) + [1] * len(JUNK_IDS))
+    text = {r["doc_id"]: r["text"] for r in docs.filter(docs.doc_id.isin(ids)).collect()}
+    rest, x = docs.filter(~docs.doc_id.isin(ids)), statistics([text[i] for i in ids])
+    accuracy, brier, off = assess(train(rest).probability(x), truth)
+    print(f"all {len(ids)}: accuracy {accuracy:.3f}, Brier {brier:.4f}, calibration error {off:.4f}")
+    assert accuracy >= 0.97 and brier < 0.03 and off < 0.06
+    half = np.arange(len(ids)) % 2 == 0
+    model = train(rest, checked=([text[i] for i, h in zip(ids, half) if h], truth[half]))
+    accuracy, brier, off = assess(model.probability(x[~half]), truth[~half])
+    print(f"other half: accuracy {accuracy:.3f}, Brier {brier:.4f}, calibration error {off:.4f}")
+    assert accuracy >= 0.97 and brier < 0.03 and off < 0.06
+
+
+def test_a_table_of_one_kind_only(spark):
+    """Half of the checked texts stand in for the other kind; those left out of the fit are judged right."""
+    one = spark.createDataFrame([(i, t) for i, t in enumerate(PROSE * 3)], "doc_id bigint, text string")
+    p = train(one).probability(statistics(list(PROSE + JUNK)[1::2]))
+    assert ((p >= 0.5) == (np.arange(1, 32, 2) >= len(PROSE))).mean() >= 0.8
 
 
 def test_odd_rows(spark):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -270,23 +270,26 @@ def document_statistics(documents: DataFrame, id_col: str = "doc_id", text_col:
     return slim.mapInPandas(scan, f"{id_col} {kind}, " + ", ".join(f"{n} double" for n in FEATURES))
 
 
-def train(documents: DataFrame, text_col: str = "text", fit_rows: int = 4000, seed: int = 11) -> BoostedTrees:
-    """Trees fitted to at most ``fit_rows`` weakly labelled documents and calibrated on the hand-checked holdout.
+def train(documents: DataFrame, text_col: str = "text", fit_rows: int = 4000, seed: int = 11, checked: tuple[Sequence[str], Sequence[int]] | None = None) -> BoostedTrees:
+    """Trees fitted to at most ``fit_rows`` weakly labelled documents and calibrated on a hand-checked holdout: texts and
+    labels (1 = junk) the fit does not see.
 
-    The sample is random over the whole table; where it shows one kind only, the holdout's texts stand in for the
-    other."""
+    ``checked`` defaults to the texts of ``prose_holdout``; documents checked by hand must be left out of ``documents``.
+    The sample is random over the whole table. Where it shows one kind only, every second checked text stands in
+    for the other kind in the fit and only the rest calibrate."""
     total = documents.count()
     share = min(1.0, 1.2 * fit_rows / max(1, total))
     texts = documents.select(F.col(f"`{text_col}`").alias("text"), F.lit(0).alias("id"))
     picked = texts if share >= 1 else texts.sample(share, seed=seed)
     x = document_statistics(picked, "id").limit(fit_rows).toPandas()[list(FEATURES)].to_numpy(np.float64)
-    checked = statistics(list(PROSE + JUNK))
-    truth = np.array([0] * len(PROSE) + [1] * len(JUNK))
+    checked_texts, labels = checked or (PROSE + JUNK, [0] * len(PROSE) + [1] * len(JUNK))
+    held, truth = statistics(list(checked_texts)), np.asarray(labels)
     y = weak_labels(x) if len(x) else np.zeros(0)
     x, y = x[y >= 0], y[y >= 0]
     if len(np.unique(y)) < 2:
-        x, y = np.vstack([x, checked]), np.concatenate([y, truth])
-    return BoostedTrees().fit(x, y).calibrate(checked, truth)
+        x, y = np.vstack([x, held[::2]]), np.concatenate([y, truth[::2]])
+        held, truth = held[1::2], truth[1::2]
+    return BoostedTrees().fit(x, y).calibrate(held, truth)
 
 
 def junk_probability(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: BoostedTrees | None = None) -> DataFrame:
