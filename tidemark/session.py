@@ -67,10 +67,11 @@ class Scratch:
             if path.startswith("file://"):
                 shutil.rmtree(path[7:], ignore_errors=True)
 
-    def keep(self, df: DataFrame, name: str = "t") -> DataFrame:
+    def keep(self, df: DataFrame, name: str = "t", by: str | None = None) -> DataFrame:
+        """``by``: a column whose values become folders, so that a filter on it reads its rows only."""
         self.n += 1
         path = f"{self.base}/{self.n:03d}_{name}"
-        df.write.parquet(path)
+        (df.write.partitionBy(by) if by else df.write).parquet(path)
         kept = self.spark.read.schema(df.schema).parquet(path)
         kept._tidemark_path = path
         return kept
