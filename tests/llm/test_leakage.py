@@ -3,7 +3,7 @@ import random
 import pandas as pd
 import pytest
 
-from tidemark.llm.leakage import Automaton, Limits, find_leaks, leaks, words
+from tidemark.llm.leakage import Automaton, Limits, Screen, find_leaks, leaks, longest_chain, without_leaks, words, words_at
 
 RNG = random.Random(0)
 VOCAB = [f"w{i}" for i in range(400)]
@@ -29,11 +29,46 @@ def test_longest_matches_against_brute_force():
     ids = [a.vocabulary.get(w, -1) for w in text]
     grams = {tuple(t[i : i + n]) for t in (v.split() for v in ITEMS.values()) for n in range(1, 61) for i in range(61 - n)}
     longest = [max((n for n in range(0, min(e, 60) + 1) if tuple(text[e - n : e]) in grams or n == 0)) for e in range(len(text) + 1)]
-    want = {(e, longest[e]) for e in range(1, len(text) + 1) if longest[e] >= 3 and (e == len(text) or longest[e + 1] != longest[e] + 1)}
-    got = list(a.runs(ids, 3))
-    assert {(e, n) for e, n, _ in got} == want
-    for e, n, s in got:
-        assert a.items(s) == {i for i, v in ITEMS.items() if " ".join(text[e - n : e]) in v and f" {' '.join(text[e - n : e])} " in f" {v} "}
+    got = list(a.walk(ids))
+    assert [n for _, n in got] == longest[1:]
+    holds = lambda run: {i for i, v in ITEMS.items() if f" {' '.join(run)} " in f" {v} "}
+    for e, (s, n) in enumerate(got, 1):
+        if n >= 3:
+            assert a.items(s) == holds(text[e - n : e])
+    # Every item with a match of three words or more is sighted with its longest one.
+    best = {}
+    for _, n, items in a.sightings(ids, 3):
+        for i in items:
+            best[i] = max(best.get(i, 0), n)
+    want = {i: max((n for e in range(1, len(text) + 1) for n in range(3, longest[e] + 1) if i in holds(text[e - n : e])), default=0) for i in ITEMS}
+    assert best == {i: n for i, n in want.items() if n}
+
+
+def test_nested_and_overlapping_items(spark):
+    w = [f"u{i}" for i in range(120)]
+    held = {1: w[:60], 2: w[20:100], 3: w[30:56], 4: [*w[40:70], *w[:10]]}
+    items = spark.createDataFrame([(i, " ".join(t)) for i, t in held.items()], "item_id int, passage string")
+    texts = {"b alone": w[20:100], "end of a": w[30:100], "inner": w[25:62], "tail": w[38:75]}
+    df = spark.createDataFrame([(k, " ".join(["x", *t, "y"])) for k, t in texts.items()], "doc_id string, text string")
+
+    def common(a, b):
+        return max(n for i in range(len(a)) for j in range(len(b)) for n in [next((k for k in range(min(len(a) - i, len(b) - j)) if a[i + k] != b[j + k]), min(len(a) - i, len(b) - j))])
+
+    want = {(k, i) for k, t in texts.items() for i, v in held.items() if common(t, v) >= 25}
+    assert {(r["doc_id"], r["item_id"]) for r in leaks(df, items).collect()} == want
+
+
+def test_chains_take_time_in_proportion():
+    """Twice the text takes about twice the steps: chains out of the window are dropped."""
+    import time
+
+    passage, took = list(range(60)), []
+    for n in (20_000, 40_000, 80_000):
+        text = [w for k in range(n // 6) for w in (*passage[(k * 7) % 50 : (k * 7) % 50 + 4], -1, -1)]
+        began = time.process_time()
+        longest_chain(passage, text, Limits())
+        took.append(time.process_time() - began)
+    assert took[2] < took[0] * 4 * 2 + 0.2
 
 
 def cases():
@@ -48,6 +83,8 @@ def cases():
         "wrapped": "\n> ".join(" ".join(t[i : i + 5]) for i in range(0, 60, 5)),
         "changed": " ".join(changed),
         "dropped": " ".join(dropped),
+        "every fifth": " ".join(w if i % 5 else "CHANGED" for i, w in enumerate(t)),
+        "long tag": " ".join(t[:15]) + " <a title='" + NOISE(80) + "'> " + " ".join(t[15:]),
         "line between": " ".join(t[:14]) + f"\n{NOISE(9)}\n" + " ".join(t[14:28]),
         "quotation": f"{NOISE(50)} {' '.join(t[5:19])} {NOISE(50)}",
         "shuffled": " ".join(sum((t[i : i + 6] for i in (48, 0, 24, 12, 36, 6, 30, 18, 42, 54)), [])),
@@ -73,7 +110,37 @@ def test_equal_passages_leak_together_and_tags_do_not_cross_texts():
         a.add(i, words(ITEMS[3]))
     a.finish()
     pdf = pd.DataFrame({"id": [1, 2, 3], "text": ["a < b", ITEMS[3], "c > d"]})
-    assert {(r.id, r.item) for r in find_leaks(pdf, a, Limits()).itertuples()} == {(2, 1), (2, 2)}
+    assert {(r.id, r.item) for r in find_leaks(pdf, a, Screen([a], Limits()), Limits()).itertuples()} == {(2, 1), (2, 2)}
+
+
+def test_spans_are_removed(spark):
+    t = ITEMS[2].split()
+    before, after = NOISE(40), NOISE(50)
+    texts = {
+        "inside": f"{before}. <b>{' '.join(t[10:40])}</b>, {after}",
+        "twice": f"{before} {' '.join(t[:30])} {before} {ITEMS[3]} {after} {after}",
+        "whole": ITEMS[2],
+        "none": before,
+    }
+    df = spark.createDataFrame([*texts.items(), ("null", None)], "doc_id string, text string")
+    items = spark.createDataFrame(list(ITEMS.items()), "item_id int, passage string")
+    for most in (250_000, 130):
+        got = {r["doc_id"]: r for r in without_leaks(df, items, max_words=most).collect()}
+        assert set(got) == {"inside", "twice", "whole"}
+        assert words(got["inside"]["text"]) == words(f"{before} {after}") and got["inside"]["removed_words"] == 30 and not got["inside"]["dropped"]
+        assert words(got["twice"]["text"]) == words(f"{before} {before} {after} {after}") and len(got["twice"]["spans"]) == 2
+        assert got["whole"]["dropped"] and got["whole"]["text"] is None
+    kept = {r["doc_id"]: r for r in without_leaks(df, items, limits=Limits(coverage=1.0)).collect()}
+    assert kept["whole"]["text"] == "" and not kept["whole"]["dropped"]
+    clean = spark.createDataFrame([(k, r["text"]) for k, r in got.items() if r["text"]], "doc_id string, text string")
+    assert leaks(clean, items).count() == 0
+
+
+@pytest.mark.parametrize("text", ["The sexton's “Barrow”", "re-\nused <b>ink</b>&nbsp;pot", "x_y 5 < 6", "İstanbul ÉTÉ ß", "", "soft\u00adhyphen don’t <a href='x'>"])
+def test_positions_of_words(text):
+    said, begin, end = words_at(text)
+    assert said == words(text)
+    assert all(words(text[a:b]) == [w] for w, a, b in zip(said, begin, end))
 
 
 @pytest.mark.parametrize("raw,want", [("The sexton's “Barrow”", "the sextons barrow"), ("re-\nused <b>ink</b>&nbsp;pot", "reused ink pot"), ("x_y 5 < 6", "x y 5 6")])

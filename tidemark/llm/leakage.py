@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from itertools import repeat
+from functools import reduce
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MARKUP = re.compile(r"</?[a-z][^<>ꙮ]{0,200}>|&#?\w{1,8};|­|-\n\s*(?=[a-z])")
+from tidemark.session import Scratch
+
+MARKUP = re.compile(r"</?[a-z][^<>ꙮ]*>|&#?\w{1,8};|­|-\n\s*(?=[a-z])")
 APOSTROPHE = re.compile(r"(?<=\w)['’‘`´ʼ](?=\w)")
 WORD = re.compile(r"[^\W_]+")
 #: A word no text holds, between the texts of a batch.
@@ -39,8 +43,10 @@ class Automaton:
     length: list[int] = field(default_factory=lambda: [0])
     ends: list[list[tuple[int, int]]] = field(default_factory=lambda: [[]])
     children: list[list[int]] = field(default_factory=list)
+    count: list[int] = field(default_factory=list)
     bigrams: np.ndarray | None = None
     known: dict[int, set[int]] = field(default_factory=dict)
+    placed: dict[tuple, dict] = field(default_factory=dict)
 
     def add(self, item: int, text: list[str]) -> None:
         ids = [self.vocabulary.setdefault(w, len(self.vocabulary)) for w in text]
@@ -82,14 +88,15 @@ class Automaton:
         self.children = [[] for _ in self.link]
         for s in range(1, len(self.link)):
             self.children[self.link[s]].append(s)
+        # Occurrences of each state: its own ends and those of its subtree; links lead to shorter states.
+        self.count = [len(e) for e in self.ends]
+        for s in sorted(range(1, len(self.link)), key=lambda s: -self.length[s]):
+            self.count[self.link[s]] += self.count[s]
         n = len(self.vocabulary)
         codes = {a * n + b for t in self.texts.values() for a, b in zip(t, t[1:])}
         self.bigrams = np.array(sorted(codes), np.int64)
         return self
 
-    def numbers(self) -> dict[str, int]:
-        return self.vocabulary | {BOUNDARY: -2}
-
     def items(self, state: int) -> set[int]:
         """The items that hold the words of a state; kept once asked for, as stock phrases are asked for often."""
         if state in self.known:
@@ -102,46 +109,73 @@ class Automaton:
         self.known[state] = out
         return out
 
-    def runs(self, ids: list[int], least: int):
-        """(end, length, state) of every match of ``least`` words or more that the next word does not extend."""
+    def grams(self, item: int, k: int) -> dict[tuple[int, ...], list[int]]:
+        """``runs_of`` an item's words; kept once asked for."""
+        if (item, k) not in self.placed:
+            self.placed[item, k] = runs_of(self.texts[item], k)
+        return self.placed[item, k]
+
+    def walk(self, ids: list[int]):
+        """(state, length) of the longest match that ends with each word."""
         s, n = 0, 0
-        for at, c in enumerate(ids):
-            if c in self.follow[s]:
-                s, n = self.follow[s][c], n + 1
-                continue
-            if n >= least:
-                yield at, n, s
-            while s != -1 and c not in self.follow[s]:
-                s = self.link[s]
-            if s == -1:
-                s, n = 0, 0
-            else:
-                s, n = self.follow[s][c], self.length[s] + 1
-        if n >= least:
-            yield len(ids), n, s
+        for c in ids:
+            if c not in self.follow[s]:
+                while s != -1 and c not in self.follow[s]:
+                    s = self.link[s]
+                if s == -1:
+                    s, n = 0, 0
+                    yield s, n
+                    continue
+                n = self.length[s]
+            s, n = self.follow[s][c], n + 1
+            yield s, n
+
+    def sightings(self, ids: list[int], least: int):
+        """(end, words, items): matches of ``least`` words or more that go no farther in some items that hold them. A match
+        and its shorter ends are looked at wherever the next word leaves occurrences behind, so an item that ends in, or
+        is contained in, a stretch that another item continues is seen too."""
+        before, had = 0, 0
+        for at, (c, (s, n)) in enumerate(zip(chain(ids, [-1]), chain(self.walk(ids), [(0, 0)]))):
+            u, words_, told = before, had, set()
+            while u > 0 and words_ >= least:
+                after = self.follow[u].get(c)
+                if after is None or self.count[after] < self.count[u]:
+                    gone = self.items(u) - told if after is None else self.items(u) - self.items(after) - told
+                    if gone:
+                        told |= gone
+                        yield at, words_, gone
+                u = self.link[u]
+                words_ = self.length[u]
+            before, had = s, n
 
 
 @dataclass(frozen=True)
 class Limits:
     """What counts as a leak, in words. seed: shortest run that anchors a part. changed: words that may be changed,
     dropped or added between two parts. foreign: words a foreign line between two parts may have. span: successive
-    words of the passage that must be there. share: of those, the part that must be literally there."""
+    words of the passage that must be there. share: of those, the part that must be literally there. coverage: share of
+    a document's words beyond which the whole document goes when leaks are removed."""
 
     seed: int = 3
-    run: int = 5
     changed: int = 3
     foreign: int = 24
     span: int = 25
     share: float = 0.6
+    coverage: float = 0.5
+
+
+def runs_of(passage: list[int], k: int) -> dict[tuple[int, ...], list[int]]:
+    """Where each run of k words stands."""
+    out: dict[tuple[int, ...], list[int]] = {}
+    for i in range(len(passage) - k + 1):
+        out.setdefault(tuple(passage[i : i + k]), []).append(i)
+    return out
 
 
-def longest_chain(passage: list[int], text: list[int], lim: Limits) -> tuple[int, int, int, int]:
+def longest_chain(passage: list[int], text: list[int], lim: Limits, grams: Mapping | None = None) -> tuple[int, int, int, int]:
     """(passage words spanned, of them literal, first and last text position) of the longest chain of common runs
     that advance in both with small gaps."""
-    k = lim.seed
-    grams: dict[tuple[int, ...], list[int]] = {}
-    for i in range(len(passage) - k + 1):
-        grams.setdefault(tuple(passage[i : i + k]), []).append(i)
+    k, grams = lim.seed, grams if grams is not None else runs_of(passage, lim.seed)
     open_: dict[int, list[int]] = {}  # diagonal -> [passage start, text start, length]
     parts = []
     for j in range(len(text) - k + 1):
@@ -154,12 +188,13 @@ def longest_chain(passage: list[int], text: list[int], lim: Limits) -> tuple[int
                 parts.append(part)
     parts.sort(key=lambda p: (p[1], p[0]))
     best = (0, 0, 0, 0)
-    chains: list[tuple[int, int, int, int, int, int]] = []  # passage start, end, text start, end, literal, part
+    # Chains that can still go on: passage start, end, text start, end, literal. Parts come in order of the text, so a
+    # chain that ends before the window is done with; the work is the parts times what one window holds.
+    chains: list[tuple[int, int, int, int, int]] = []
     for i, j, n in parts:
         top = (i, i + n, j, j + n, n)
+        chains = [x for x in chains if x[3] >= j - lim.foreign - lim.changed]
         for a, b, c, d, m in reversed(chains):
-            if d < j - lim.foreign - lim.changed:
-                continue
             cut = max(0, b - i, d - j)  # overlapping ends belong to the earlier part
             if cut >= n or b > i + cut or d > j + cut:
                 continue
@@ -172,36 +207,77 @@ def longest_chain(passage: list[int], text: list[int], lim: Limits) -> tuple[int
     return best
 
 
-def find_leaks(batch: pd.DataFrame, auto: Automaton, lim: Limits) -> pd.DataFrame:
-    """id, item, span, literal, first, last for the texts of a batch."""
-    n, texts = len(auto.vocabulary), [t or "" for t in batch["text"]]
-    # One pass of the tokeniser over the whole batch; BOUNDARY stands between the texts.
-    flat = np.fromiter(map(auto.numbers().get, words(f" {BOUNDARY} ".join(texts)), repeat(-1)), np.int64)
-    cuts = np.concatenate([[-1], np.nonzero(flat == -2)[0], [len(flat)]])
-    # Word pairs known from the items; a text with too few of them cannot hold the words a leak needs.
-    at = np.nonzero((flat[:-1] >= 0) & (flat[1:] >= 0))[0]
-    at = at[np.isin(flat[at] * n + flat[at + 1], auto.bigrams)]
-    owner = np.searchsorted(cuts, at, side="right") - 1
-    pairs, found = np.bincount(owner, minlength=len(texts)), []
-    least = int(lim.share * lim.span * (lim.seed - 1) / lim.seed)
-    for k in np.nonzero(pairs >= least)[0]:
-        ids, seen = flat[cuts[k] + 1 : cuts[k + 1]].tolist(), {}
-        for _, size, state in auto.runs(ids, lim.seed):
-            # The run's own occurrences, and those of its shorter ends that other items share.
-            s, covered, here = state, size, set()
-            while s > 0 and covered >= lim.seed:
-                for item in auto.items(s) - here:
-                    here.add(item)
-                    total, longest = seen.get(item, (0, 0))
-                    seen[item] = total + covered, max(longest, covered)
-                s = auto.link[s]
-                covered = auto.length[s] if s > 0 else 0
-        for item, (total, longest) in seen.items():
-            if total >= lim.share * lim.span and longest >= lim.run:
-                span, literal, a, b = longest_chain(auto.texts[item], ids, lim)
-                if span >= lim.span:
-                    found.append((batch["id"].iloc[k], item, span, literal, a, b))
-    return pd.DataFrame(found, columns=["id", "item", "span", "literal", "first", "last"])
+class Screen:
+    """The word pairs of several automata, each with its own vocabulary: which texts can hold a leak at all."""
+
+    def __init__(self, automata: Sequence[Automaton], lim: Limits):
+        self.least = int(lim.share * lim.span * (lim.seed - 1) / lim.seed)
+        self.parts = [(a.vocabulary | {BOUNDARY: -2}, a.bigrams) for a in automata]
+
+    def look(self, texts: list[str]):
+        """(automaton, text number, the text's word numbers) of each text with enough word pairs of an automaton.
+        One pass of the tokeniser over the whole batch; BOUNDARY stands between the texts."""
+        said = words(f" {BOUNDARY} ".join(texts))
+        for k, (numbers, bigrams) in enumerate(self.parts):
+            n = len(numbers) - 1
+            flat = np.fromiter(map(numbers.get, said, repeat(-1)), np.int64)
+            cuts = np.concatenate([[-1], np.nonzero(flat == -2)[0], [len(flat)]])
+            at = np.nonzero((flat[:-1] >= 0) & (flat[1:] >= 0))[0]
+            at = at[np.isin(flat[at] * n + flat[at + 1], bigrams)]
+            pairs = np.bincount(np.searchsorted(cuts, at, side="right") - 1, minlength=len(texts))
+            for t in np.nonzero(pairs >= self.least)[0]:
+                yield k, int(t), flat[cuts[t] + 1 : cuts[t + 1]].tolist()
+
+
+def leaks_of(ids: list[int], auto: Automaton, lim: Limits):
+    """(item, span, literal, first word, end word) of one text given as word numbers."""
+    need = lim.share * lim.span
+    # Stretches of the text in which an item's matches are near enough to be one chain: [first, end, matched words].
+    seen: dict = {}
+    for end, size, items in auto.sightings(ids, lim.seed):
+        for item in items:
+            near = seen.setdefault(item, [])
+            if near and end - size - near[-1][1] <= lim.foreign:
+                last = near[-1]
+                last[0], last[1], last[2] = min(last[0], end - size), end, last[2] + size
+            else:
+                near.append([end - size, end, size])
+    for item, near in seen.items():
+        best = (0, 0, 0, 0)
+        for first, end, total in near:
+            if total >= need:
+                span, literal, a, b = longest_chain(auto.texts[item], ids[first:end], lim, auto.grams(item, lim.seed))
+                best = max(best, (span, literal, -(first + a), first + b))
+        if best[0] >= lim.span:
+            yield item, best[0], best[1], -best[2], best[3]
+
+
+_FOUND = ["id", "item", "span", "literal", "first_word", "last_word"]
+
+
+def find_leaks(batch: pd.DataFrame, auto: Automaton, screen: Screen, lim: Limits) -> pd.DataFrame:
+    """One row per text and item of a batch, with the text; ``screen`` is that of this automaton."""
+    texts = [t or "" for t in batch["text"]]
+    found = [(batch["id"].iloc[t], *leak, texts[t]) for _, t, ids in screen.look(texts) for leak in leaks_of(ids, auto, lim)]
+    return pd.DataFrame(found, columns=[*_FOUND, "text"])
+
+
+def automata_of(items: DataFrame, item_col: str, passage_col: str, lim: Limits, max_words: int) -> list[Automaton]:
+    """Suffix automata of the items, each of at most ``max_words`` words unless one item alone is longer. The held-out
+    items are small by nature; they come to the driver in id order, piece by piece."""
+    item, passage = F.col(f"`{item_col}`"), F.col(f"`{passage_col}`")
+    held = items.filter(item.isNotNull() & passage.isNotNull()).groupBy(item.alias("i")).agg(F.min(passage).alias("p")).orderBy("i")
+    automata, current, size = [], Automaton(), 0
+    for row in held.toLocalIterator():
+        text = words(row["p"])
+        if len(text) < lim.span:
+            continue
+        if size and size + len(text) > max_words:
+            automata.append(current.finish())
+            current, size = Automaton(), 0
+        current.add(row["i"], text)
+        size += len(text)
+    return automata + ([current.finish()] if size else [])
 
 
 def leaks(
@@ -212,46 +288,124 @@ def leaks(
     item_col: str = "item_id",
     passage_col: str = "passage",
     limits: Limits = Limits(),
-    max_words: int = 1_000_000,
+    max_words: int = 250_000,
 ) -> DataFrame:
     """Which documents hold which test items: (id_col, item_col, span, literal, first_word, last_word).
 
-    The items make generalised suffix automata of at most ``max_words`` words each (items beyond go into further
-    ones, each a pass over the documents); a broadcast automaton therefore has a fixed bound. Documents stream
-    through in Arrow batches, whole: the automaton gives the longest match at every word, the items behind matches
-    of ``limits.seed`` words or more are candidates, and an exact chain of common runs decides. Nothing is shuffled.
+    The items make generalised suffix automata of at most ``max_words`` words, so what a worker holds has a fixed
+    bound. Documents stream through in Arrow batches, whole: the automaton gives the longest match at every word,
+    the items behind matches of ``limits.seed`` words or more are candidates, and an exact chain of common runs
+    decides. Nothing is shuffled. Where the items need several automata, the documents are still read once: that pass
+    writes the texts with enough word pairs of an automaton beside its number, and each automaton reads its own.
 
     Defined cases: null and empty texts and passages hold nothing and are held by nothing; passages shorter than
-    ``limits.span`` words never leak; equal passages all leak together; an item id delivered twice counts once,
-    with its smallest passage; a document delivered twice is reported twice; other columns are ignored.
+    ``limits.span`` words never leak; equal passages all leak together, and so do items that overlap or contain one
+    another, as far as the text shows them; an item id delivered twice counts once, with its smallest passage; a
+    document delivered twice is reported twice; other columns are ignored.
     """
+    found = _scan(documents, items, id_col, text_col, item_col, passage_col, limits, max_words)
+    return found.select(*_FOUND).withColumnsRenamed({"id": id_col, "item": item_col})
+
+
+def _scan(documents: DataFrame, items: DataFrame, id_col: str, text_col: str, item_col: str, passage_col: str, limits: Limits, max_words: int) -> DataFrame:
+    """``leaks`` with the text of each document found."""
     spark = documents.sparkSession
     kind, item_kind = documents.schema[id_col].dataType.simpleString(), items.schema[item_col].dataType.simpleString()
-    # The held-out items are small by nature; they come to the driver in id order, piece by piece.
-    held = items.filter(F.col(item_col).isNotNull() & F.col(passage_col).isNotNull()).groupBy(item_col).agg(F.min(passage_col).alias("p")).orderBy(item_col)
-    automata, current, size = [], Automaton(), 0
-    for row in held.toLocalIterator():
-        text = words(row["p"])
-        if len(text) < limits.span:
-            continue
-        if size and size + len(text) > max_words:
-            automata.append(current.finish())
-            current, size = Automaton(), 0
-        current.add(row[item_col], text)
-        size += len(text)
-    if size:
-        automata.append(current.finish())
-    out = f"{id_col} {kind}, {item_col} {item_kind}, span int, literal int, first_word int, last_word int"
-    names = [id_col, item_col, "span", "literal", "first_word", "last_word"]
-    slim = documents.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).filter("text is not null")
-    result = None
-    for auto in automata:
-        shared = spark.sparkContext.broadcast(auto)
-
-        def scan(batches, shared=shared):
+    out = f"id {kind}, item {item_kind}, span int, literal int, first_word int, last_word int, text string"
+    automata = automata_of(items, item_col, passage_col, limits, max_words)
+    if not automata:
+        return spark.createDataFrame([], out)
+    texts = documents.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).filter("text is not null")
+
+    def scan(texts: DataFrame, auto: Automaton) -> DataFrame:
+        shared = spark.sparkContext.broadcast((auto, Screen([auto], limits)))
+
+        def run(batches):
             for pdf in batches:
-                yield find_leaks(pdf, shared.value, limits).set_axis(names, axis=1)
+                yield find_leaks(pdf, *shared.value, limits)
+
+        return texts.mapInPandas(run, out)
+
+    if len(automata) == 1:
+        return scan(texts, automata[0])
+    screen = spark.sparkContext.broadcast(Screen(automata, limits))
+
+    def pick(batches):
+        for pdf in batches:
+            hits = [(k, t) for k, t, _ in screen.value.look(pdf["text"].tolist())]
+            yield pdf.iloc[[t for _, t in hits]].assign(part=np.array([k for k, _ in hits], np.int32))
+
+    picked = Scratch(spark).keep(texts.mapInPandas(pick, f"id {kind}, text string, part int"), "picked", by="part")
+    scans = [scan(picked.filter(F.col("part") == k).select("id", "text"), auto) for k, auto in enumerate(automata)]
+    return reduce(DataFrame.unionByName, scans)
+
+
+def words_at(text: str) -> tuple[list[str], list[int], list[int]]:
+    """The words of ``words`` with their first and end position in the text."""
+    chars, at = [], []
+    for i, c in enumerate(text):
+        low = c.lower()
+        chars.append(low)
+        at += [i] * len(low)
+    low = "".join(chars)
+    keep: list[tuple[str, int]] = []
+    done = 0
+    for m in MARKUP.finditer(low) if MARKUP_SIGNS.search(low) else ():
+        keep += zip(low[done : m.start()], at[done : m.start()])
+        if m[0][0] not in "-\u00ad":
+            keep.append((" ", at[m.start()]))
+        done = m.end()
+    keep += zip(low[done:], at[done:])
+    plain = "".join(c for c, _ in keep)
+    quotes = {m.start() for m in APOSTROPHE.finditer(plain)}
+    keep = [x for i, x in enumerate(keep) if i not in quotes]
+    found = list(WORD.finditer("".join(c for c, _ in keep)))
+    return [m[0] for m in found], [keep[m.start()][1] for m in found], [keep[m.end() - 1][1] + 1 for m in found]
+
+
+def without_leaks(
+    documents: DataFrame,
+    items: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_col: str = "item_id",
+    passage_col: str = "passage",
+    limits: Limits = Limits(),
+    max_words: int = 250_000,
+) -> DataFrame:
+    """The documents that show test items, cleaned: (id_col, text, removed_words, n_words, spans, dropped).
+
+    Every span of ``leaks`` is cut out, from its first word to the end of its last, and a blank line left in its place;
+    overlapping spans are one. ``spans`` lists (first_word, last_word) of what went. Where the spans make up more than
+    ``limits.coverage`` of the words, the whole document is dropped: ``dropped`` is true and the text null. Documents
+    without leaks are not listed: they stay as they are. One row per distinct id and text; see ``leaks`` for the
+    other cases.
+    """
+    kind = documents.schema[id_col].dataType.simpleString()
+    found = _scan(documents, items, id_col, text_col, item_col, passage_col, limits, max_words)
+    hit = found.groupBy("id", "text").agg(F.collect_set(F.struct("first_word", "last_word")).alias("spans"))  # only what leaks is shuffled
+
+    def cut(batches):
+        for pdf in batches:
+            made = []
+            for i, text, spans in zip(pdf["id"], pdf["text"], pdf["spans"]):
+                said, begin, end = words_at(text)
+                merged: list[list[int]] = []
+                for a, b in sorted((s["first_word"], s["last_word"]) for s in spans):
+                    if merged and a <= merged[-1][1]:
+                        merged[-1][1] = max(merged[-1][1], b)
+                    else:
+                        merged.append([a, b])
+                gone = sum(b - a for a, b in merged)
+                dropped = gone > limits.coverage * len(said)
+                pieces, done = [], 0
+                for a, b in merged:
+                    pieces.append(text[done : begin[a]].rstrip())
+                    done = end[b - 1]
+                pieces.append(text[done:].lstrip())
+                left = None if dropped else "\n\n".join(p for p in pieces if p)
+                made.append((i, left, gone, len(said), [{"first_word": a, "last_word": b} for a, b in merged], dropped))
+            yield pd.DataFrame(made, columns=["id", "text", "removed_words", "n_words", "spans", "dropped"])
 
-        part = slim.mapInPandas(scan, out)
-        result = part if result is None else result.unionByName(part)
-    return result if result is not None else spark.createDataFrame([], out)
+    out = hit.mapInPandas(cut, f"id {kind}, text string, removed_words int, n_words int, spans array<struct<first_word: int, last_word: int>>, dropped boolean")
+    return out.withColumnRenamed("id", id_col)

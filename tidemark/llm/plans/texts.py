@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.leakage import leaks
+from tidemark.llm.leakage import leaks, without_leaks
 from tidemark.llm.packing import fill_containers, token_count
 from tidemark.llm.prose import document_statistics, junk_probability
 from tidemark.session import read_table
@@ -49,6 +49,11 @@ def p9_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "eval_items"))
 
 
+def p9_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that show test items, with the leaked spans taken out."""
+    return without_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "eval_items"))
+
+
 def p10_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_statistics(read_table(spark, sf_dir, "documents"))
 
@@ -57,7 +62,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return junk_probability(read_table(spark, sf_dir, "documents")).filter("junk >= 0.5").select("doc_id")
 
 
-QUERIES = {"p10_found": p10_found, "p10_statistics": p10_statistics, "p8_containers": p8_containers, "p8_fill": p8_fill, "p8_invariants": p8_invariants, "p9_found": p9_found, "p9_leaks": p9_leaks}
+QUERIES = {"p10_found": p10_found, "p10_statistics": p10_statistics, "p8_containers": p8_containers, "p8_fill": p8_fill, "p8_invariants": p8_invariants, "p9_clean": p9_clean, "p9_found": p9_found, "p9_leaks": p9_leaks}
 
 _TOKENS = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s\x1c-\x1f\x{85}\p{Z}]+"
 ORACLE = {
