@@ -58,9 +58,46 @@ def test_layers(spark):
     day = datetime(2001, 1, 1)
     rows = [("g", 1, 1, day, "x", None), ("g", 2, 2, day, None, "y"), ("g", 3, 1, day + timedelta(1), "x", None)]
     df = spark.createDataFrame([(*r, "x") for r in rows], SCHEMA)
-    assert {r["field_name"]: (r["id"], r["layer"]) for r in field_sources(df, "g", fields(), "id", "t", "r").collect()} == {"a": (3, 1), "b": (2, 2)}
-    whole = survivors(df.drop("nc"), "g", fields(), "id", "t", "r").first()
-    assert (whole["a"], whole["a_row"], whole["b"], whole["b_row"]) == ("x", 3, "y", 2)
+    sources = lambda df, how: {r["field_name"]: (r["id"], r["layer"]) for r in field_sources(df, "g", fields(), "id", "t", "r", completeness=how).collect()}
+    assert sources(df, "fields") == {"a": (3, 1), "b": (2, 1)}  # nobody who dominates row 2 has b
+    assert sources(df, "count") == {"a": (3, 1), "b": (2, 2)}
+    for how in ("fields", "count"):
+        whole = survivors(df.drop("nc"), "g", fields(), "id", "t", "r", how).first()
+        assert (whole["a"], whole["a_row"], whole["b"], whole["b_row"]) == ("x", 3, "y", 2)
+    # By count the row with b pushes the trusted a into the second layer, and a less trusted but newer a is first.
+    rows = [("g", 1, 2, day, "x", None), ("g", 2, 1, day + timedelta(1), None, "y"), ("g", 3, 3, day + timedelta(2), "z", None)]
+    df = spark.createDataFrame([(*r, "x") for r in rows], SCHEMA)
+    assert sources(df, "fields") == {"a": (1, 1), "b": (2, 1)} and sources(df, "count") == {"a": (3, 1), "b": (2, 1)}
+
+
+def layers_by_peeling(rows, complete):
+    """Layer of each row by taking off the undominated ones, again and again."""
+    key = lambda r: (float("inf") if r[2] is None else r[2], (-r[3].timestamp() if r[3] else 9e18, r[1]), frozenset(f for f, v in zip("ab", r[4:]) if v is not None))
+    beats = lambda q, p: key(q)[0] <= key(p)[0] and key(q)[1] < key(p)[1] and complete(key(q)[2], key(p)[2])
+    left, out, k = list(rows), {}, 1
+    while left:
+        top = [p for p in left if not any(beats(q, p) for q in left)]
+        out |= {r[1]: k for r in top}
+        left, k = [r for r in left if r not in top], k + 1
+    return out, key
+
+
+def test_layers_against_peeling(spark):
+    rng, day = random.Random(8), datetime(2001, 1, 1)
+    rows = [(f"g{i % 25}", i, rng.choice([1, 2, 3, None]), rng.choice([None, day, day + timedelta(rng.randrange(4))]), rng.choice([None, "x"]), rng.choice([None, "y"])) for i in range(200)]
+    df = spark.createDataFrame([(*r, "x") for r in rows], SCHEMA)
+    for how, complete in (("fields", lambda q, p: q >= p), ("count", lambda q, p: len(q) >= len(p))):
+        want = {}
+        for g in {r[0] for r in rows}:
+            mine = [r for r in rows if r[0] == g]
+            layer, key = layers_by_peeling(mine, complete)
+            for i, f in ((4, "a"), (5, "b")):
+                ok = [r for r in mine if r[i] is not None]
+                if ok:
+                    best = min(ok, key=lambda r: (layer[r[1]], key(r)[0], key(r)[1]))
+                    want[g, f] = (best[1], layer[best[1]])
+        got = field_sources(df, "g", fields(), "id", "t", "r", completeness=how).collect()
+        assert {(r["g"], r["field_name"]): (r["id"], r["layer"]) for r in got} == want
 
 
 def test_usable_values(spark):

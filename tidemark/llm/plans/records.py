@@ -11,6 +11,10 @@ from tidemark.llm.vptree import nearest_vectors
 from tidemark.session import read_table
 
 
+#: By how much the pruning ball is shrunk where some loss is acceptable.
+RELAXED = 4.0
+
+
 def entity_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, vec): the summary table's vector, or the linkage input's for entities without a row there."""
     summary = read_table(spark, sf_dir, "entity_summary_vectors").select(F.col("victim_entity_id").alias("id"), F.col("entity_summary_vec").alias("vec"))
@@ -22,6 +26,11 @@ def p2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_vectors(entity_vectors(spark, sf_dir), k=5, width=64)
 
 
+def p2_relaxed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with balls a little smaller than is safe: less work, a few neighbours missed (see the README)."""
+    return nearest_vectors(entity_vectors(spark, sf_dir), k=5, width=64, factor=RELAXED)
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = p2_nearest(spark, sf_dir)
     return near.select(F.least("id", "neighbour").alias("victim_entity_id_l"), F.greatest("id", "neighbour").alias("victim_entity_id_r")).distinct()
@@ -51,7 +60,7 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_to_min(pairs, "unique_id_l", "unique_id_r").withColumnRenamed("id", "unique_id")
 
 
-QUERIES = {"p2_found": p2_found, "p2_nearest": p2_nearest, "p4_found": p4_found, "p4_survivors": p4_survivors, "p6_found": p6_found}
+QUERIES = {"p2_found": p2_found, "p2_nearest": p2_nearest, "p2_relaxed": p2_relaxed, "p4_found": p4_found, "p4_survivors": p4_survivors, "p6_found": p6_found}
 
 _P4 = """
 with n as (select *, lower(trim(regexp_replace(canonical_fullname, '\\s+', ' ', 'g'))) as s from victim_entities),
@@ -68,6 +77,8 @@ select victim_entity_id, field_name, entity_row_id from f where ok and victim_en
 qualify row_number() over (partition by victim_entity_id, field_name order by feed_rank nulls last, updated_at desc nulls last, entity_row_id) = 1
 """
 
+_FIELDS = ("canonical_fullname", "canonical_sex", "canonical_race", "incident_date")
+
 _P2 = """
 with e as (
   select victim_entity_id as id, entity_summary_vec as v from entity_summary_vectors
@@ -85,7 +96,19 @@ walk as (select a as id, a as seen from e union select w.id, e.b from walk w joi
 select id as unique_id, min(seen) as cluster_id from walk group by id
 """
 
+_CHOSEN = _P4[: _P4.index("select victim_entity_id, field_name, entity_row_id from f")].replace("big as (select victim_entity_id from victim_entities group by 1 having count(distinct entity_row_id) >= 2),\n", "")
+_P4_WHOLE = (
+    _CHOSEN
+    + """, c as (select victim_entity_id, field_name, entity_row_id from f where ok
+qualify row_number() over (partition by victim_entity_id, field_name order by feed_rank nulls last, updated_at desc nulls last, entity_row_id) = 1)
+select c.victim_entity_id, """
+    + ", ".join(f"max(case when field_name = '{n}' then v.{n} end) as {n}, max(case when field_name = '{n}' then c.entity_row_id end) as {n}_row" for n in _FIELDS)
+    + " from c join victim_entities v on c.victim_entity_id = v.victim_entity_id and c.entity_row_id = v.entity_row_id group by 1"
+)
+
 ORACLE = {
+    "p2_nearest": _P2 + "select id, other as neighbour, s as similarity, cast(row_number() over (partition by id order by s desc, other) as integer) as rank from n",
+    "p4_survivors": _P4_WHOLE,
     "p2_found": _P2 + "select distinct least(id, other) as victim_entity_id_l, greatest(id, other) as victim_entity_id_r from n",
     "p4_found": _P4,
     "p6_found": _P6,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -116,9 +117,8 @@ class Best:
         self.sim[q], self.at[q] = sim[take], at[take]
 
 
-def search(x: np.ndarray, ranks: np.ndarray, queries: np.ndarray, best: Best, factor: float, leaf_rows: int, own: bool) -> None:
-    """Search a tree over x for all queries; ``own``: the queries are x itself, so their own leaves come first."""
-    node, _ = build(x, leaf_rows)
+def search(node: Node, x: np.ndarray, ranks: np.ndarray, queries: np.ndarray, best: Best, factor: float, own: bool) -> None:
+    """Search the tree ``node`` over x for all queries; ``own``: the queries are x itself, so their own leaves come first."""
     step = 2048
     if own:
         first = [node]
@@ -150,6 +150,7 @@ def nearest_vectors(
     vec_col: str = "vec",
     width: int | None = None,
     shard_rows: int = 8192,
+    block_rows: int = 32_768,
     leaf_rows: int = 512,
     fit_rows: int = 20_000,
     seed: int = 7,
@@ -157,10 +158,11 @@ def nearest_vectors(
     """The k most cosine-similar vectors of every vector: (id, neighbour, similarity, rank).
 
     A vantage-point tree fitted to at most ``fit_rows`` sampled vectors splits space into shards of about
-    ``shard_rows`` vectors; every vector is put into its shard. Each shard builds its own tree and searches it for
-    its own vectors first. Their k-th similarity bounds the ball in which better ones can lie, and only shards
-    (and, inside, only leaves) the ball reaches by the triangle inequality are searched next, in blocks of queries
-    times shards. ``factor`` divides the ball's radius: 1 is exact, more is faster and may miss some.
+    ``shard_rows`` vectors (at most ``fit_rows`` shards); every vector is put into its shard. Each shard builds its own
+    tree, once, and searches it for its own vectors first. Their k-th similarity bounds the ball in which better ones can
+    lie, and only shards (and, inside, only leaves) the ball reaches by the triangle inequality are searched next.
+    A shard travels with its tree to one task for every ``block_rows`` vectors that visit it, and nowhere if none
+    does. ``factor`` divides the ball's radius: 1 is exact, more is faster and may miss some.
 
     Exact copies of a vector are one row in the trees, however many there are; of their ids the k + 1 smallest can
     be anybody's neighbours, and all of them get their own result.
@@ -204,7 +206,6 @@ def nearest_vectors(
     sample = _matrix(sample.limit(fit_rows).toPandas()["b"])
     n_shards = max(1, -(-total // shard_rows))
     top, _ = build(sample, max(1, -(-len(sample) // n_shards)), seed)
-    blocks = max(1, -(-total // shard_rows))
 
     def place(batches):
         for pdf in batches:
@@ -217,49 +218,62 @@ def nearest_vectors(
     found = f"q {kind}, c {kind}, s double"
     want = k + 1
 
-    def rows_of(best: Best, q: np.ndarray, ids: np.ndarray, at_least=None) -> pd.DataFrame:
-        ok = best.at < len(ids)
-        r, c = np.nonzero(ok)
+    def rows_of(best: Best, q: np.ndarray, ids: np.ndarray) -> pd.DataFrame:
+        r, c = np.nonzero(best.at < len(ids))
         return pd.DataFrame({"q": q[r], "c": ids[best.at[r, c]], "s": best.sim[r, c]})
 
-    def own(pdf: pd.DataFrame) -> pd.DataFrame:
+    def own(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        """A shard's results for its own vectors, and one row with the shard and its tree."""
         pdf = pdf.sort_values("rep", ignore_index=True)
         x, ids = _matrix(pdf["b"]), pdf["rep"].to_numpy()
-        best = Best(len(x), want)
-        search(x, np.arange(len(x)), x, best, factor, leaf_rows, own=True)
-        return rows_of(best, ids, ids)
-
-    near = scratch.keep(placed.groupBy("shard").applyInPandas(own, found), "own")
+        best, (node, _) = Best(len(x), want), build(x, leaf_rows)
+        search(node, x, np.arange(len(x)), x, best, factor, own=True)
+        rows = rows_of(best, ids, ids)
+        out = {c: np.append(rows[c].to_numpy(object), None) for c in ("q", "c", "s")}
+        return pd.DataFrame(out | {"shard": key[0], "tree": np.append(np.full(len(rows), None), pickle.dumps((node, x, ids)))})
+
+    first = scratch.keep(placed.groupBy("shard").applyInPandas(own, f"{found}, shard bigint, tree binary"), "own")
+    near, shards = first.filter("tree is null").select("q", "c", "s"), first.filter("tree is not null").select("shard", "tree")
     if n_shards > 1:
         floors = near.groupBy("q").agg(F.when(F.count("*") >= want, F.min("s")).otherwise(F.lit(-1.0)).alias("floor"))
-        asked = placed.join(floors, placed.rep == floors.q).select("q", "b", "shard", "floor")
+        asked = scratch.keep(placed.join(floors, placed.rep == floors.q).select("q", "b", "shard", "floor"), "asked")
+
+        def reached(pdf: pd.DataFrame):
+            x, home = _matrix(pdf["b"]), pdf["shard"].to_numpy()
+            tau = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (pdf["floor"].to_numpy() - SLACK)))
+            for leaf, rows in reachable(top, x, tau, factor):
+                rows = rows[home[rows] != leaf.leaf]
+                if len(rows):
+                    yield leaf.leaf, rows
+
+        def count(batches):
+            for pdf in batches:
+                yield pd.DataFrame([(leaf, len(rows)) for leaf, rows in reached(pdf)], columns=["shard", "n"])
+
+        visits = asked.mapInPandas(count, "shard bigint, n bigint").groupBy("shard").agg(F.sum("n").alias("n"))
+        blocks = {r["shard"]: -(-r["n"] // block_rows) for r in visits.collect()}  # at most `fit_rows` shards
 
         def route(batches):
             for pdf in batches:
-                if len(pdf):
-                    x, home = _matrix(pdf["b"]), pdf["shard"].to_numpy()
-                    tau = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (pdf["floor"].to_numpy() - SLACK)))
-                    for leaf, rows in reachable(top, x, tau, factor):
-                        rows = rows[home[rows] != leaf.leaf]
-                        if len(rows):
-                            part = pdf.iloc[rows][["q", "b", "floor"]]
-                            yield part.assign(shard=leaf.leaf)
-
-        away = asked.mapInPandas(route, f"q {kind}, b binary, floor double, shard bigint").withColumn("block", F.pmod(F.xxhash64("q"), F.lit(blocks)))
-        copies = placed.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
+                lot = pd.util.hash_array(pdf["q"].to_numpy()) if len(pdf) else None
+                for leaf, rows in reached(pdf):
+                    yield pdf.iloc[rows][["q", "b", "floor"]].assign(shard=leaf, block=(lot[rows] % np.uint64(blocks[leaf])).astype(np.int64))
+
+        away = asked.mapInPandas(route, f"q {kind}, b binary, floor double, shard bigint, block bigint")
+        times = spark.createDataFrame([(s, n) for s, n in blocks.items()], "shard bigint, times bigint")
+        copies = shards.join(F.broadcast(times), "shard").select("shard", "tree", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("times") - 1)).alias("block"))
 
         def visit(asking: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
             if not len(asking) or not len(held):
                 return pd.DataFrame({"q": [], "c": [], "s": []})
-            held = held.sort_values("rep", ignore_index=True)
-            x, ids = _matrix(held["b"]), held["rep"].to_numpy()
+            node, x, ids = pickle.loads(held["tree"].iloc[0])
             best = Best(len(asking), want)
             # Only what ties with or beats the shard's own k-th matters.
             best.sim[:] = np.maximum(-2.0, asking["floor"].to_numpy() - SLACK)[:, None]
-            search(x, np.arange(len(x)), _matrix(asking["b"]), best, factor, leaf_rows, own=False)
+            search(node, x, np.arange(len(x)), _matrix(asking["b"]), best, factor, own=False)
             return rows_of(best, asking["q"].to_numpy(), ids)
 
-        more = away.groupBy("shard", "block").cogroup(copies.select("rep", "b", "shard", "block").groupBy("shard", "block")).applyInPandas(visit, found)
+        more = away.groupBy("shard", "block").cogroup(copies.groupBy("shard", "block")).applyInPandas(visit, found)
         near = near.unionByName(scratch.keep(more, "away"))
 
     by = lambda key: Window.partitionBy(key).orderBy(F.desc("s"), "neighbour")
