@@ -1,6 +1,6 @@
 import pytest
 
-from tidemark.llm.address_parse import Address, deletions, one_edit, parse, place_of
+from tidemark.llm.address_parse import Address, deletions, one_edit, parse, place_of, same_name
 from tidemark.llm.addresses import place_pairs, same_places
 
 TOWNS, STATES = {"HARWICK", "EASTON"}, {"WESTMARK"}
@@ -21,6 +21,27 @@ TOWNS, STATES = {"HARWICK", "EASTON"}, {"WESTMARK"}
         ("Third Avenue 306 #6A", Address("A", "306", ("#3",), ("AVE",), "", "")),
         ("16 avenue 410, harwick, westmark", Address("A", "410", ("#16",), ("AVE",), "", "HARWICK")),
         ("12 Alder", Address("A", "12", ("ALDER",), ("",), "", "")),
+        ("100 Oak Hill Rd", Address("A", "100", ("OAK HILL",), ("RD",), "", "")),
+        ("100 Oak Grove Ave, Harwick", Address("A", "100", ("OAK GROVE",), ("AVE",), "", "HARWICK")),
+        ("12 St Marks Pl", Address("A", "12", ("ST MARKS",), ("PL",), "", "")),
+        ("7 La Salle Ave, Easton", Address("A", "7", ("LA SALLE",), ("AVE",), "", "EASTON")),
+        ("12 Avenue of the Americas", Address("A", "12", ("AVENUE AMERICAS",), ("",), "", "")),
+        ("1500 Avenue A", Address("A", "1500", ("AVENUE A",), ("",), "", "")),
+        ("12-14 Oak St", Address("A", "12-14", ("OAK",), ("ST",), "", "")),
+        ("12-A Oak St", Address("A", "12A", ("OAK",), ("ST",), "", "")),
+        ("12 1/2 Oak St", Address("A", "12 1/2", ("OAK",), ("ST",), "", "")),
+        ("1200 K St NW", Address("A", "1200", ("K",), ("ST",), "NW", "")),
+        ("1200 N St NW", Address("A", "1200", ("N",), ("ST",), "NW", "")),
+        ("5 Park La Brea Ave", Address("A", "5", ("PARK LA BREA",), ("AVE",), "", "")),
+        ("9 Dr Martin Luther King Blvd SE, Harwick", Address("A", "9", ("DR MARTIN LUTHER KING",), ("BLVD",), "SE", "HARWICK")),
+        ("100 Oak St St Louis", Address("A", "100", ("OAK",), ("ST",), "", "ST LOUIS")),
+        ("100 Oak St, San Jose, CA", Address("A", "100", ("OAK",), ("ST",), "", "SAN JOSE")),
+        ("6 Front St, front", Address("A", "6", ("FRONT",), ("ST",), "", "")),
+        ("8 First Parish Rd", Address("A", "8", ("FIRST PARISH",), ("RD",), "", "")),
+        ("Oak Hill Rd and 5 Ave, Harwick", Address("X", "", ("#5", "OAK HILL"), ("AVE", "RD"), "", "HARWICK")),
+        ("12 Ox Rd", Address("A", "12", ("OX",), ("RD",), "", "")),
+        ("12 Alder St & Birch Ave & Fir Ln", Address("X", "", ("ALDER", "BIRCH & FIR"), ("ST", "AVE & LN"), "", "")),
+        ("12 Alder Harwick", Address("A", "12", ("ALDER",), ("",), "", "HARWICK")),
         ("", Address()),
         (None, Address()),
     ],
@@ -35,6 +56,12 @@ def test_edits():
     assert not one_edit("ALDER", "ALBAR") and not one_edit("ELDYOWN", "YELDOWN")
 
 
+def test_words_are_assigned():
+    for a, b in (("OAK HILL", "HILL OAK"), ("OAK HILL", "HILL OAKK"), ("OAK HILL", "OAKHILL"), ("OAK HILL ROW", "ROW HILT OAK")):
+        assert same_name(a, b) and deletions(a) & deletions(b)
+    assert not same_name("OAK HILL", "OAK GROVE") and not same_name("OAK HILL", "OAKK HIL") and not same_name("OAK HILL", "OAK")
+
+
 def test_vetoes_and_ties():
     sig = lambda t, q="", town="", n=1, hint=None: ((t, ""), q, town, n, hint)
     assert len(set(place_of([sig("ST"), sig("AVE"), sig("RD")]))) == 3
@@ -82,6 +109,11 @@ def test_established_names_one_edit_apart_stay_two(spark):
     assert place_pairs(same_places(table(spark, raws))).count() == 0
 
 
+def test_long_names_stay_apart(spark):
+    raws = ["100 Oak Hill Rd", "100 Oak Grove Ave", "100 Oak Hill Road, Apt 4", "100 Hill Oak Rd", "100 Oak Grove", "12 St Marks Pl", "12 St. Marks Place #3", "12 Marks St", "12-14 Oak St", "12 Oak St", "1500 Avenue A", "1500 Avenue B"]
+    assert {tuple(r) for r in place_pairs(same_places(table(spark, raws))).collect()} == {(0, 2), (0, 3), (2, 3), (1, 4), (5, 6)}
+
+
 def test_empty(spark):
     assert same_places(table(spark, [])).count() == 0
     assert same_places(table(spark, [None, "", "?"])).count() == 0

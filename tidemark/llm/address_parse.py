@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Mapping, Set
 from dataclasses import dataclass
 
@@ -13,7 +14,8 @@ TYPES = {
     "HWY": "HWY HIGHWAY", "WAY": "WAY WY", "ALY": "ALY ALLEY", "TRL": "TRL TRAIL", "CRES": "CRES CRESCENT",
 }
 TYPE_OF = {w: k for k, ws in TYPES.items() for w in ws.split()}
-#: Spellings of ST that could also be a town's SAINT or an ordinal are still types: they follow a name.
+#: Spellings of types that also begin or stand inside names (St Marks Pl, La Salle Ave, Park La Brea Ave).
+AMBIGUOUS = frozenset({"ST", "LA", "DR"})
 QUADRANTS = {"NW": "NORTHWEST", "NE": "NORTHEAST", "SW": "SOUTHWEST", "SE": "SOUTHEAST", "N": "NORTH", "S": "SOUTH", "E": "EAST", "W": "WEST"}
 QUADRANT_OF = {w: q for q, full in QUADRANTS.items() for w in (q, full)}
 _UNITS = "APT APARTMENT UNIT FLAT SUITE STE ROOM RM FL FLOOR"
@@ -29,7 +31,7 @@ JOINERS = frozenset({"AND", "&", "/", "AT", "@", "CORNER"})
 KNOWN = frozenset(TYPE_OF) | frozenset(QUADRANT_OF) | UNIT_WORDS | LONE_UNITS | FILLERS | frozenset(ORDINAL_OF) | JOINERS | {"BLOCK", "BLK"}
 
 _DOTTED = re.compile(r"\b([NSEW])\.\s?([NSEW])\b\.?")
-_TOKEN = re.compile(r"\d+(?:ST|ND|RD|TH)\b|\d+[A-Z]?\b|[A-Z][A-Z'’]*|[&/@#,:()]")
+_TOKEN = re.compile(r"\b1/2\b|\d+(?:ST|ND|RD|TH)\b|\d+-(?:\d+[A-Z]?|[A-Z])\b|\d+[A-Z]?\b|[^\W\d_](?:[^\W\d_]|['’](?=[^\W\d_]))*|[&/@#,:()]")
 _SPLIT_ORDINAL = re.compile(r"^(\d+)(?:ST|ND|RD|TH)$")
 
 
@@ -67,73 +69,149 @@ class Address:
     town: str = ""
 
 
-def parse(raw: str | None, fix: Mapping[str, str], towns: Set[str], states: Set[str] = frozenset()) -> Address:
-    """Assign each token to the component it serves best: fixed words by meaning, numbers by place (before a name the
-    house, after BLOCK or NO the number, after APT or # the unit, before a type the street itself), names by what
-    they are elsewhere."""
-    toks = tokens(raw)
-    number, block, quadrant, town, streets, types = "", False, "", "", [], []
-    crossing = False
-    i, n = 0, len(toks)
-    pending: list[str] = []  # numbers not yet known to be the house or the street
-
-    def street(name: str, at: int) -> int:
-        """Add a street; returns how many tokens its type took."""
-        streets.append(name)
-        if at < n and toks[at] in TYPE_OF:
-            types.append(TYPE_OF[toks[at]])
-            return 1
-        types.append("")
-        return 0
+def _runs(toks: list[str]) -> tuple[list[tuple[list[str], str, str]], list[str], bool, bool, str]:
+    """The words of an address in unbroken runs, each with what stands before and behind it; the house numbers in order;
+    whether it is a block or a crossing; the quadrant. '#3' in a run is the street of that number."""
+    n, crossing = len(toks), any(t in JOINERS for t in toks)
+    at = lambda i: toks[i] if 0 <= i < n else ""
+    unit: set[int] = set()
+    for i, t in enumerate(toks):
+        after = at(i + 1)
+        if i in unit:
+            continue
+        if t == "#" or t in UNIT_WORDS:
+            # The unit: APT 9, UNIT B, # 6A; a unit word with nothing behind it is just dropped.
+            unit |= {i, i + 1} if after and (after[0].isdigit() or (len(after) == 1 and after.isalpha())) else {i}
+        elif t in LONE_UNITS and after not in TYPE_OF:
+            unit.add(i)
+    plain = [i for i, t in enumerate(toks) if t[0].isdigit() and i not in unit and t != "1/2" and not _SPLIT_ORDINAL.match(t)]
+    runs: list[tuple[list[str], str, str]] = []
+    numbers: list[str] = []
+    run: list[str] = []
+    block, quadrant, number, before = False, "", "", ""
 
+    def close(behind: str) -> None:
+        nonlocal run, before
+        if run:
+            runs.append((run, before, behind))
+        run, before = [], behind
+
+    i = 0
     while i < n:
-        t = toks[i]
-        after = toks[i + 1] if i + 1 < n else ""
+        t, after = toks[i], at(i + 1)
         ordinal = _SPLIT_ORDINAL.match(t)
-        if t == "#" or t in UNIT_WORDS:
-            # The unit: APT 9, UNIT B, # 6A; a unit word with nothing behind it is just dropped.
-            i += 2 if after and (after[0].isdigit() or len(after) == 1 and after.isalpha()) else 1
-            continue
-        if ordinal or t in ORDINAL_OF:
-            i += 1
-            i += street("#" + (ordinal.group(1) if ordinal else str(ORDINAL_OF[t])), i)
+        i += 1
+        if i - 1 in unit:
             continue
-        if t[0].isdigit():
-            if after in TYPE_OF and t.isdigit() and len(t) <= 3:
-                i += 1
-                i += street("#" + t, i)
+        if t in ("BLOCK", "BLK"):
+            block = True
+            close("BLOCK")
+        elif t == "1/2":
+            if numbers:
+                numbers[-1] += " 1/2"
+        elif ordinal or (t in ORDINAL_OF and not run):
+            # FIRST is a number before a type, and where no type follows the words behind it (First Parish Rd has one).
+            j = i
+            while at(j)[:1].isalpha() and at(j) not in TYPE_OF and at(j) not in JOINERS and at(j) not in QUADRANT_OF:
+                j += 1
+            if ordinal or j == i or at(j) not in TYPE_OF:
+                close("")
+                run.append("#" + (ordinal.group(1) if ordinal else str(ORDINAL_OF[t])))
+            else:
+                run.append(t)
+        elif t[0].isdigit():
+            # A number before a type is the street's if the house has another number or two streets cross.
+            if after in TYPE_OF and t.isdigit() and len(t) <= 3 and (crossing or len(plain) > 1):
+                close("")
+                run.append("#" + t)
                 continue
+            close("")
+            value = (t[:-2] + t[-1] if re.match(r"^\d+-[A-Z]$", t) else t).lstrip("0") or "0"
             if after in ("BLOCK", "BLK"):
-                number, block = t.lstrip("0") or "0", True
-                i += 2
-                continue
-            pending.append(t.lstrip("0") or "0")
-        elif t in ("BLOCK", "BLK"):
-            block = True
-        elif t in JOINERS:
-            crossing = True
-        elif t in QUADRANT_OF and not (after in TYPE_OF and len(t) > 2 and not streets):
+                number, block, i = value, True, i + 1
+            else:
+                numbers.append(value)
+        elif t in JOINERS or not t[0].isalpha():
+            close(t)
+        elif t in QUADRANT_OF and not (after in TYPE_OF and len(t) != 2 and not run):
             quadrant = quadrant or QUADRANT_OF[t]
-        elif t[0].isalpha() and t not in FILLERS and t not in LONE_UNITS and t not in TYPE_OF and len(t) > 2:
-            name = fix.get(t, t)
-            if name in states:
-                pass
-            elif name in towns and after not in TYPE_OF:
-                town = town or name
+            close("Q")
+        elif t in FILLERS:
+            continue
+        elif len(t) == 1 and not (after in TYPE_OF or (run and run[-1] in TYPE_OF and len(run) == 1)):
+            close("")  # a lone letter names a street before a type or behind a leading one (K St, Avenue A), else nothing
+        else:
+            run.append(t)
+    close("")
+    return runs, ([number] if number else []) + numbers, block, crossing, quadrant
+
+
+def _type_at(run: list[str]) -> int:
+    """Where the type of the street a run begins with stands; 0 if there is none. It follows a name; of several in a
+    row the last counts, but ST before a name begins another (100 Oak St St Louis)."""
+    for j in range(1, len(run)):
+        if run[j] not in TYPE_OF:
+            continue
+        if run[j] in AMBIGUOUS and any(w in TYPE_OF and run[k - 1] not in TYPE_OF for k, w in enumerate(run) if k > j + 1):
+            continue
+        while j + 1 < len(run) and run[j + 1] in TYPE_OF and not (run[j + 1] == "ST" and j + 2 < len(run)):
+            j += 1
+        return j
+    return 0
+
+
+def parse(raw: str | None, fix: Mapping[str, str], towns: Set[str], states: Set[str] = frozenset()) -> Address:
+    """Assign each word to the component it serves best.
+
+    Fixed words go by meaning, numbers by place (house, block, unit, street before a type). A street is the run of words
+    up to its type, which is a type only behind a name; what follows in the run is a town. Runs without a type are
+    a town where they are known as one, stand before a colon or in brackets, or behind a finished address; else a street.
+    """
+    runs, numbers, block, crossing, quadrant = _runs(tokens(raw))
+    streets: list[tuple[str, str]] = []
+    town = ""
+    right = lambda w: fix.get(w, w) if len(w) > 2 else w
+
+    def place(words: list[str], before: str, behind: str, last: bool) -> None:
+        nonlocal town
+        said = [w for w in map(right, words) if w not in states]
+        if last and len(said) == 1 and len(said[0]) == 2 and before == ",":
+            return  # a state's letters
+        known = [w for w in said if w in towns]
+        rest = [w for w in said if w not in towns]
+        finished = len(streets) >= (2 if crossing else 1)
+        if rest and not known and (behind == ":" or before == "(" or (finished and before in (",", "Q", "TYPE", ""))):
+            known, rest = rest, []
+        if known:
+            town = town or " ".join(known)
+        if rest and not (known and finished):
+            streets.append((" ".join(rest), ""))
+
+    for k, (run, before, behind) in enumerate(runs):
+        if len(run) == 1 and run[0] in TYPE_OF and streets and not streets[-1][1]:
+            streets[-1] = (streets[-1][0], TYPE_OF[run[0]])
+            continue
+        while run:
+            j = _type_at(run)
+            if not j and run[0][0] == "#":
+                streets.append((run[0], ""))
+                run, before = run[1:], "TYPE"
+            elif not j:
+                place(run, before, behind, k + 1 == len(runs))
+                break
             else:
-                i += 1
-                i += street(name, i)
-                continue
-        i += 1
-    if not number and pending:
-        number = pending[0]
+                streets.append((" ".join(map(right, run[:j])), TYPE_OF[run[j]]))
+                run, before = run[j + 1 :], "TYPE"
+    number = numbers[0] if numbers else ""
     if len(streets) >= 2 and (crossing or not number):
-        pair = sorted(zip(streets[:2], types[:2]))
-        return Address("X", "", tuple(s for s, _ in pair), tuple(k for _, k in pair), quadrant, town)
-    if streets and number:
-        return Address("B" if block else "A", number, (streets[0],), (types[0],), quadrant, town)
-    return Address("", number, tuple(streets[:2]), tuple(types[:2]), quadrant, town)
-
+        kind, number, streets = "X", "", sorted(streets)
+    elif streets and number:
+        kind = "B" if block else "A"
+    else:
+        kind = ""
+    if len(streets) > 2:  # the second component holds all others
+        streets = [streets[0], (" & ".join(s for s, _ in streets[1:]), " & ".join(t for _, t in streets[1:]))]
+    return Address(kind, number, tuple(s for s, _ in streets), tuple(t for _, t in streets), quadrant, town)
 
 
 def one_edit(a: str, b: str) -> bool:
@@ -151,9 +229,32 @@ def one_edit(a: str, b: str) -> bool:
     return x[1:] == y if len(x) > len(y) else x == y[1:]
 
 
-def deletions(word: str) -> set[str]:
-    """The word and every word with one letter less: two words one edit apart share one of these."""
-    return {word} | {word[:i] + word[i + 1 :] for i in range(len(word))}
+def deletions(name: str) -> set[str]:
+    """The name, its words in order of the alphabet, and every form with one letter or one blank less: two names that
+    are one edit apart, whatever the order of their words, share one of these."""
+    words = name.split(" ")
+    out = {" ".join(sorted(words))}
+    for i, w in enumerate(words):
+        rest = words[:i] + words[i + 1 :]
+        out |= {" ".join(sorted([*rest, w[:k] + w[k + 1 :]])) for k in range(len(w))}
+        if i:
+            out.add(" ".join(sorted([*words[: i - 1], words[i - 1] + w, *words[i + 1 :]])))
+    return out
+
+
+def same_name(a: str, b: str) -> bool:
+    """Whether the words of a name can be assigned to those of another, one each, with at most one edit in all (a lost
+    blank is one)."""
+    x, y = a.split(" "), b.split(" ")
+    if len(x) != len(y):
+        long, short = (x, y) if len(x) > len(y) else (y, x)
+        return len(long) == len(short) + 1 and any(sorted([*long[: i - 1], long[i - 1] + long[i], *long[i + 1 :]]) == sorted(short) for i in range(1, len(long)))
+    # Equal words are assigned to one another; one pair may be left over, and must be one edit apart.
+    over = Counter(x) - Counter(y), Counter(y) - Counter(x)
+    if over[0].total() != 1:
+        return not over[0]
+    u, v = next(iter(over[0])), next(iter(over[1]))
+    return min(len(u), len(v)) >= 3 and one_edit(u, v)  # a letter more or less in a shorter word is another word
 
 
 def place_of(signatures: list[tuple]) -> list[int]:

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.address_parse import Address, deletions, name_tokens, one_edit, parse, place_of, tokens
+from tidemark.llm.address_parse import Address, deletions, name_tokens, parse, place_of, same_name, tokens
 from tidemark.session import Scratch
 
 _PARTS = "kind string, number string, s1 string, s2 string, t1 string, t2 string, quadrant string, town string"
@@ -31,7 +31,7 @@ def _variants():
 def _close():
     @F.pandas_udf("boolean")
     def close(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([one_edit(x, y) for x, y in zip(a, b)], dtype=bool)
+        return pd.Series([same_name(x, y) for x, y in zip(a, b)], dtype=bool)
 
     return close
 
@@ -41,7 +41,8 @@ def name_index(texts: DataFrame, text_col: str, ratio: int = 10) -> DataFrame:
 
     A name is a misspelling of another if one edit makes it and the other is at least ``ratio`` times as frequent.
     Candidates come from a deletion-neighbourhood index over the distinct names: two names meet where they share a
-    name with one letter less. Rarer names are left to the blocks (``near_streets``, ``near_towns``). A name's role is that of
+    name with one letter less. Of several, one that stands where the misspelling does (as a town, or as a street) is
+    meant, then the most frequent. Rarer names are left to the blocks (``near_streets``, ``near_towns``). A name's role is that of
     the places it stands in: town where most of the places that tell are a town's, state where most are behind a town; where
     none tells, that of the most frequent name one edit away.
     """
@@ -57,11 +58,13 @@ def name_index(texts: DataFrame, text_col: str, ratio: int = 10) -> DataFrame:
     names = scratch.keep(raw.groupBy("word").agg(F.sum("n").alias("n"), at(1).alias("street"), at(-1).alias("town"), at(-2).alias("state")), "names")
 
     variants, close = _variants(), _close()
-    index = names.select("word", "n", F.explode(variants("word")).alias("v"))
-    meant = index.select(F.col("word").alias("canon"), F.col("n").alias("m"), "v")
+    stands = F.when(F.col("town") + F.col("state") > 2 * F.col("street"), "town").when(F.col("street") > 0, "street")
+    index = names.select("word", "n", stands.alias("as"), F.explode(variants("word")).alias("v"))
+    meant = index.select(F.col("word").alias("canon"), F.col("n").alias("m"), F.col("as").alias("like"), "v")
     met = index.join(meant, "v").filter((F.col("m") > F.col("n")) & (F.col("word") != F.col("canon")))
-    near = scratch.keep(met.select("word", "canon", "n", "m").distinct().filter(close("word", "canon")), "near")
-    best = lambda df, name: df.groupBy("word").agg(F.max_by("canon", F.struct("m", "canon")).alias(name))
+    fits = F.coalesce((F.col("as") == F.col("like")).cast("int"), F.lit(0))
+    near = scratch.keep(met.select("word", "canon", "n", "m", fits.alias("fits")).distinct().filter(close("word", "canon")), "near")
+    best = lambda df, name: df.groupBy("word").agg(F.max_by("canon", F.struct("fits", "m", "canon")).alias(name))
     fixes = best(near.filter((F.col("m") >= ratio) & (F.col("m") >= F.col("n") * ratio)), "canon")
     whole = names.join(fixes, "word", "left").withColumn("canon", F.coalesce("canon", "word"))
     per = whole.groupBy("canon").agg(F.sum("street").alias("street"), F.sum("town").alias("town"), F.sum("state").alias("state"), F.sum("n").alias("n"))
@@ -102,7 +105,7 @@ def near_towns(counts: dict[str, int], ratio: int = 10) -> dict[str, str]:
     """The towns of a block, each with the one it means: the most frequent one edit away, if it stands in fewer than ``ratio`` rows."""
     out: dict[str, str] = {}
     for t in sorted(counts, key=lambda t: (-counts[t], t)):
-        out[t] = next((out[c] for c in out if one_edit(t, c)), t) if counts[t] < ratio else t
+        out[t] = next((out[c] for c in out if same_name(t, c)), t) if counts[t] < ratio else t
     return out
 
 
@@ -149,7 +152,7 @@ def same_places(
             if not a.kind:
                 continue
             h = p(said) if said else Address()
-            same = (h.kind, h.number, len(h.streets)) == (a.kind, a.number, len(a.streets)) and all(x == y or ("#" not in (x + y) and one_edit(x, y)) for x, y in zip(h.streets, a.streets))
+            same = (h.kind, h.number, len(h.streets)) == (a.kind, a.number, len(a.streets)) and all(x == y or ("#" not in (x + y) and same_name(x, y)) for x, y in zip(h.streets, a.streets))
             made.append((i, *_row(a), *(_row(h)[4:] if same else ("",) * 4)))
         return pd.DataFrame(made, columns=columns)
 

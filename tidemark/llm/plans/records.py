@@ -52,7 +52,7 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p4_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "victim_entities")
-    return survivors(rows, "victim_entity_id", _usable(), "entity_row_id", "feed_rank", "updated_at")
+    return survivors(rows, "victim_entity_id", _usable(), "entity_row_id", "feed_rank", "updated_at").withColumn("incident_date", F.col("incident_date").cast("string"))
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,7 +102,7 @@ _P4_WHOLE = (
     + """, c as (select victim_entity_id, field_name, entity_row_id from f where ok
 qualify row_number() over (partition by victim_entity_id, field_name order by feed_rank nulls last, updated_at desc nulls last, entity_row_id) = 1)
 select c.victim_entity_id, """
-    + ", ".join(f"max(case when field_name = '{n}' then v.{n} end) as {n}, max(case when field_name = '{n}' then c.entity_row_id end) as {n}_row" for n in _FIELDS)
+    + ", ".join(f"cast(max(case when field_name = '{n}' then v.{n} end) as varchar) as {n}, max(case when field_name = '{n}' then c.entity_row_id end) as {n}_row" for n in _FIELDS)
     + " from c join victim_entities v on c.victim_entity_id = v.victim_entity_id and c.entity_row_id = v.entity_row_id group by 1"
 )
 
