@@ -193,9 +193,9 @@ def same_places(
     turned = {c: F.when(turn, F.col(d)).otherwise(F.col(c)) for a, b in (("s1", "s2"), ("t1", "t2"), ("h1", "h2")) for c, d in ((a, b), (b, a))}
     parsed = scratch.keep(parsed.withColumns(turned).select(*columns), "corrected")
     hints = F.max(F.when(F.concat("h1", "h2", "hq", "ht") != "", F.struct("h1", "h2", "hq", "ht")))
-    ways = parsed.groupBy(*GROUP, *BESIDE).agg(F.count("*").alias("n"), hints.alias("hint"))
+    ways = parsed.groupBy(*GROUP, *BESIDE).agg(F.count("*").alias("n"), F.min("id").alias("lo"), hints.alias("hint"))
     ways = ways.join(counts.select(F.col("name").alias("town"), F.col("n").alias("rows")), "town", "left")
-    blocks = ways.groupBy(*GROUP).agg(F.array_sort(F.collect_list(F.struct(*BESIDE, "n", "hint", "rows"))).alias("ways"))
+    blocks = ways.groupBy(*GROUP).agg(F.array_sort(F.collect_list(F.struct(*BESIDE, "n", "lo", "hint", "rows"))).alias("ways"))
 
     def settle(batches):
         for pdf in batches:
@@ -209,15 +209,17 @@ def same_places(
                     said[0] += w["n"]
                     said[1] = said[1] or (((h["h1"], h["h2"]), h["hq"], means.get(h["ht"], h["ht"]), 0, None) if h else None)
                 places = dict(zip(stated, place_of([(*s, *said) for s, said in stated.items()])))
-                for w in r.ways:
-                    made.append((*r[:4], w["t1"], w["t2"], w["quadrant"], w["town"], places[(w["t1"], w["t2"]), w["quadrant"], means.get(w["town"], "")]))
-            yield pd.DataFrame(made, columns=[*GROUP, *BESIDE, "k"])
-
-    single = blocks.filter(F.size("ways") == 1).select(*GROUP, F.inline("ways")).select(*GROUP, *BESIDE, F.lit(0).alias("k"))
-    several = blocks.filter(F.size("ways") > 1).mapInPandas(settle, f"{_PARTS}, k int")
+                at = [places[(w["t1"], w["t2"]), w["quadrant"], means.get(w["town"], "")] for w in r.ways]
+                lowest: dict[int, object] = {}
+                for k, w in zip(at, r.ways):
+                    lowest[k] = min(lowest.get(k, w["lo"]), w["lo"])
+                made += [(*r[:4], w["t1"], w["t2"], w["quadrant"], w["town"], lowest[k]) for k, w in zip(at, r.ways)]
+            yield pd.DataFrame(made, columns=[*GROUP, *BESIDE, "place_id"])
+
+    single = blocks.filter(F.size("ways") == 1).select(*GROUP, F.inline("ways")).select(*GROUP, *BESIDE, F.col("lo").alias("place_id"))
+    several = blocks.filter(F.size("ways") > 1).mapInPandas(settle, f"{_PARTS}, place_id {kind}")
     placed = parsed.select("id", *GROUP, *BESIDE).distinct().join(single.unionByName(several), [*GROUP, *BESIDE])
-    first = placed.groupBy(*GROUP, "k").agg(F.min("id").alias("place_id"))
-    return placed.join(first, [*GROUP, "k"]).select(F.col("id").alias(id_col), "place_id", *GROUP)
+    return placed.select(F.col("id").alias(id_col), "place_id", *GROUP)
 
 
 def place_pairs(places: DataFrame, id_col: str = "addr_id") -> DataFrame:
