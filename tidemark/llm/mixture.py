@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import logging
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
@@ -15,73 +16,98 @@ from tidemark.session import Scratch
 
 @dataclass
 class Component:
-    """One class's Gaussian over the similarity vector."""
+    """One class's Gaussian over a block of similarities."""
 
     mean: np.ndarray
     cov: np.ndarray
 
 
+@dataclass(frozen=True)
+class Block:
+    """Similarities whose covariance is fitted; those of different blocks count as independent given the class.
+    ``ridge`` is added to every variance, ``keep`` is what is left of covariances."""
+
+    features: tuple[str, ...]
+    ridge: float = 0.25
+    keep: float = 0.8
+
+
 @dataclass
 class Mixture:
-    features: tuple[str, ...]
+    """The share of matches, and each block's two Gaussians. ``rounds`` of EM were run; ``converged`` says whether the
+    last one still moved a mean by more than the tolerance."""
+
+    blocks: tuple[Block, ...]
     share: float
-    matched: Component
-    unmatched: Component
+    matched: list[Component]
+    unmatched: list[Component]
+    rounds: int = 0
+    converged: bool = False
+    moves: list[float] = field(default_factory=list)
 
     def log_odds(self) -> Column:
         """Natural log of matched to unmatched density times the prior odds, as an expression: where a similarity is
         null, both densities are those of the others alone (the Gaussians' marginals)."""
-        k, out = len(self.features), None
-        for mask in range(2**k):
+        out = F.lit(math.log(self.share / (1 - self.share)))
+        for block, m, u in zip(self.blocks, self.matched, self.unmatched):
+            out = out + self._block(block.features, m, u)
+        return out
+
+    @staticmethod
+    def _block(features: tuple[str, ...], matched: Component, unmatched: Component) -> Column:
+        k, out = len(features), None
+        for mask in range(1, 2**k):
             seen = [i for i in range(k) if mask >> i & 1]
-            cond = None
-            for i, name in enumerate(self.features):
-                c = F.col(name).isNotNull() if mask >> i & 1 else F.col(name).isNull()
-                cond = c if cond is None else cond & c
-            value = F.lit(math.log(self.share / (1 - self.share)))
-            if seen:
-                value = value + self._density(self.matched, seen) - self._density(self.unmatched, seen)
+            cond = F.lit(True)
+            for i, name in enumerate(features):
+                cond = cond & (F.col(name).isNotNull() if mask >> i & 1 else F.col(name).isNull())
+            value = _density(features, matched, seen) - _density(features, unmatched, seen)
             out = F.when(cond, value) if out is None else out.when(cond, value)
-        return out
+        return out.otherwise(0.0)
+
+
+def _density(features: tuple[str, ...], c: Component, seen: list[int]) -> Column:
+    cov = c.cov[np.ix_(seen, seen)]
+    inverse = np.linalg.inv(cov)
+    quad = F.lit(0.0)
+    d = [F.col(features[i]) - float(c.mean[i]) for i in seen]
+    for a in range(len(seen)):
+        for b in range(a, len(seen)):
+            quad = quad + d[a] * d[b] * float(inverse[a, b] * (1 if a == b else 2))
+    return F.lit(float(-0.5 * (np.linalg.slogdet(cov)[1] + len(seen) * math.log(2 * math.pi)))) - 0.5 * quad
+
 
-    def _density(self, c: Component, seen: list[int]) -> Column:
-        cov = c.cov[np.ix_(seen, seen)]
-        inverse = np.linalg.inv(cov)
-        norm = -0.5 * (np.linalg.slogdet(cov)[1] + len(seen) * math.log(2 * math.pi))
-        d = [F.col(self.features[i]) - float(c.mean[i]) for i in seen]
-        quad = None
-        for a in range(len(seen)):
-            for b in range(a, len(seen)):
-                term = d[a] * d[b] * float(inverse[a, b] * (1 if a == b else 2))
-                quad = term if quad is None else quad + term
-        return F.lit(float(norm)) - 0.5 * quad
-
-
-def _moments(features: Sequence[str], p: Column) -> list[Column]:
-    """Sums for the M-step: weight, and for each pair of features the weight, sums and products where both are seen."""
+def _moments(blocks: Sequence[Block], p: Column) -> list[Column]:
+    """Sums for the M-step: weight, and for each pair of features of a block the weight, sums and products where both
+    are seen."""
     out = [F.sum(p)]
-    for i, a in enumerate(features):
-        for b in features[i:]:
-            w = F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), p)
-            out += [F.sum(w), F.sum(w * F.col(a)), F.sum(w * F.col(b)), F.sum(w * F.col(a) * F.col(b))]
+    for block in blocks:
+        for i, a in enumerate(block.features):
+            for b in block.features[i:]:
+                w = F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), p)
+                out += [F.sum(w), F.sum(w * F.col(a)), F.sum(w * F.col(b)), F.sum(w * F.col(a) * F.col(b))]
     return out
 
 
-def _component(sums: Sequence[float], k: int, ridge: float, keep: float) -> Component:
-    mean, cov, at = np.zeros(k), np.eye(k) * ridge, 1
-    for i in range(k):
-        for j in range(i, k):
-            w, sa, sb, sab = (float(x or 0.0) for x in sums[at : at + 4])
-            at += 4
-            if w <= 1e-9:
-                continue
-            value = sab / w - (sa / w) * (sb / w)
-            if i == j:
-                mean[i], cov[i, i] = sa / w, max(value, 0.0) + ridge
-            else:
-                cov[i, j] = cov[j, i] = value * keep
-    values, vectors = np.linalg.eigh(cov)
-    return Component(mean, (vectors * np.maximum(values, ridge)) @ vectors.T)
+def _components(sums: np.ndarray, blocks: Sequence[Block]) -> list[Component]:
+    out, at = [], 1
+    for block in blocks:
+        k = len(block.features)
+        mean, cov = np.zeros(k), np.eye(k) * max(block.ridge, 1e-6)
+        for i in range(k):
+            for j in range(i, k):
+                w, sa, sb, sab = sums[at : at + 4]
+                at += 4
+                if w <= 1e-9:
+                    continue
+                value = sab / w - (sa / w) * (sb / w)
+                if i == j:
+                    mean[i], cov[i, i] = sa / w, max(value, 0.0) + block.ridge
+                else:
+                    cov[i, j] = cov[j, i] = value * block.keep
+        values, vectors = np.linalg.eigh(cov)
+        out.append(Component(mean, (vectors * np.maximum(values, max(block.ridge, 1e-6))) @ vectors.T))
+    return out
 
 
 def _split(pairs: DataFrame, total: Column, bins: int = 200) -> float:
@@ -101,69 +127,91 @@ def _split(pairs: DataFrame, total: Column, bins: int = 200) -> float:
     return float(lo + (int(between.argmax()) + 1) * width)
 
 
-def constrained(odds: Column, owner: str, rival: str | None) -> Column:
-    """The posterior under transitivity: two records of the other table are different entities, so the matches of one
-    ``owner`` exclude one another, and so do those that share a ``rival`` key; what is left is 'no match'."""
+def constrained(odds: Column, owner: str, target: str | None = None, rival: str | None = None, facts: Sequence[str] = ()) -> Column:
+    """The posterior under transitivity. With records A, B of one table and R of the other:
+
+    - two ``target`` records are different entities, so A-R and A-R' exclude one another: the matches of one ``owner``
+      compete;
+    - A-R and B-R make A and B one entity. Where A and B share a ``rival`` key (they are told apart in one source), or
+      state different values of one of ``facts``, they are not, so A-R and B-R compete as well.
+
+    What is left is 'no match'. Among the reasons for which records of one target exclude A, the one with the most
+    mass counts."""
     capped = F.exp(F.least(F.greatest(odds, F.lit(-60.0)), F.lit(60.0)))
     others = F.sum(capped).over(Window.partitionBy(owner))
-    if rival:
-        others = others + F.sum(capped).over(Window.partitionBy(rival)) - capped
+    if target:
+        against = []
+        if rival:
+            against.append(F.sum(capped).over(Window.partitionBy(target, rival)) - capped)
+        for f in facts:
+            known = F.when(F.col(f).isNotNull(), capped)
+            other = F.sum(known).over(Window.partitionBy(target)) - F.sum(known).over(Window.partitionBy(target, f))
+            against.append(F.when(F.col(f).isNotNull(), F.coalesce(other, F.lit(0.0))).otherwise(0.0))
+        if against:
+            others = others + F.greatest(*against, F.lit(0.0))
     return capped / (1 + others)
 
 
 def fit_and_score(
     pairs: DataFrame,
-    features: Sequence[str],
+    blocks: Sequence[Block],
     owner: str,
+    target: str | None = None,
     rival: str | None = None,
-    background: DataFrame | None = None,
-    rounds: int = 12,
-    ridge: float = 0.25,
-    keep: float = 0.8,
-    tolerance: float = 0.01,
+    facts: Sequence[str] = (),
+    chance: str | None = None,
+    rounds: int = 40,
+    tolerance: float = 0.02,
 ) -> tuple[DataFrame, Mixture | None]:
     """Candidate pairs with ``posterior``, and the fitted mixture.
 
     Expectation-maximisation over all pairs: the E-step is an expression over the similarity columns (null = not
-    comparable) followed by the transitivity constraint of ``constrained``; the M-step is one aggregation of weighted
-    moments, of which a single row reaches the driver. Covariances are regularised by ``ridge`` on the diagonal
-    and by shrinking what is off it to ``keep``. The start is the best two-way split of the summed similarities.
+    comparable) followed by the transitivity constraints of ``constrained``; the M-step is one aggregation of weighted
+    moments, of which a single row reaches the driver. Covariances are regularised as each ``Block`` says. The prior and
+    both components are fitted. Rounds end when no mean moves by ``tolerance``; a fit that has not got there
+    after ``rounds`` says so in ``Mixture.converged`` and in the log.
 
-    ``background`` holds similarity vectors of pairs that cannot match but came about as the candidates did (say, by
-    the same search at a shifted date), as many as unmatched pairs are expected among the candidates. They fix the
-    unmatched component and the prior, so that the mixture is not free to split the matches in two where nearly all
-    candidates match. Without it both components and the prior are fitted.
+    ``chance`` names a flag of pairs that cannot match but came about as the candidates did (say, by the same search at
+    a shifted date). They take part in the fit as unmatched for certain, which keeps the mixture from splitting the
+    matches in two where nearly all candidates match, and their number beside the candidates' is the first guess of
+    the prior. They are not scored. Without them the start is the best two-way split of the summed similarities.
 
-    Both window keys hold as many pairs as one record has candidates. Defined cases: no pairs, no rows and no
+    The windows hold as many pairs as one record has candidates. Defined cases: no pairs, no rows and no
     mixture; pairs that are all alike keep the prior's posterior; repeated pairs compete with one another, so pass
     distinct ones.
     """
-    k, scratch = len(features), Scratch(pairs.sparkSession)
-    kept = scratch.keep(pairs, "pairs")
-    total = sum((F.coalesce(F.col(f), F.lit(0.0)) for f in features[1:]), F.coalesce(F.col(features[0]), F.lit(0.0)))
-    if kept.isEmpty():
+    scratch, blocks = Scratch(pairs.sparkSession), tuple(blocks)
+    features = [f for b in blocks for f in b.features]
+    if chance:
+        both = scratch.keep(pairs.withColumn("_chance", F.coalesce(F.col(chance), F.lit(False))), "pairs", by="_chance")
+        kept, beside = both.filter(~F.col("_chance")).drop("_chance"), both.filter("_chance")
+    else:
+        kept, beside = scratch.keep(pairs, "pairs"), None
+    n = kept.count()
+    if not n:
         return kept.withColumn("posterior", F.lit(None).cast("double")), None
-    known, prior = None, None
-    if background is not None:
-        beside = scratch.keep(background.select(*features), "background")
-        row = beside.agg(F.count("*"), *_moments(features, F.lit(1.0))).first()
-        if row[0] >= 30:  # fewer say nothing about a Gaussian
-            known, prior = _component(row[1:], k, ridge, keep), 1 - row[0] / kept.count()
-        else:
-            prior = 0.98
-    cut = _split(kept, total) if known is None and prior is None else None
-    weighted = kept.withColumn("_p", F.when(total >= cut, 0.95).otherwise(0.05) if cut is not None else F.lit(min(max(prior, 0.02), 0.98)))
-    mixture = None
+    width = len(_moments(blocks, F.lit(1.0)))
+    numbers = lambda row: np.array([float(x or 0.0) for x in row])
+    anchor = numbers(beside.agg(*_moments(blocks, F.lit(1.0))).first()) if beside is not None else np.zeros(width)
+    if anchor[0]:
+        share = min(max(1 - anchor[0] / n, 0.01), 0.99)  # only where EM starts
+        start = F.lit(share)
+    else:
+        total = sum((F.coalesce(F.col(f), F.lit(0.0)) for f in features[1:]), F.coalesce(F.col(features[0]), F.lit(0.0)))
+        start = F.when(total >= _split(kept, total), 0.95).otherwise(0.05)
+    weighted, mixture, moves = kept.withColumn("_p", start), None, []
     for _ in range(rounds):
         p = F.col("_p")
-        row = weighted.agg(F.count("*"), *_moments(features, p), *_moments(features, 1 - p)).first()
-        n, half = row[0], (len(row) - 1) // 2
-        a, b = row[1 : 1 + half], row[1 + half :]
-        share = float(a[0]) / n if prior is None else min(max(prior, 0.02), 0.98)
-        new = Mixture(tuple(features), min(max(share, 1e-6), 1 - 1e-6), _component(a, k, ridge, keep), known or _component(b, k, ridge, keep))
-        moved = math.inf if mixture is None else max(np.abs(new.matched.mean - mixture.matched.mean).max(), np.abs(new.unmatched.mean - mixture.unmatched.mean).max())
+        row = numbers(weighted.agg(*_moments(blocks, p), *_moments(blocks, 1 - p)).first())
+        share = min(max(row[0] / n, 1e-6), 1 - 1e-6)
+        new = Mixture(blocks, share, _components(row[:width], blocks), _components(row[width:] + anchor, blocks))
+        if mixture is not None:
+            moves.append(float(max(np.abs(a.mean - b.mean).max() for a, b in zip(new.matched + new.unmatched, mixture.matched + mixture.unmatched))))
         mixture = new
-        if moved < tolerance:
+        if moves and moves[-1] < tolerance:
             break
-        weighted = kept.withColumn("_p", constrained(mixture.log_odds(), owner, rival))
-    return kept.withColumn("posterior", constrained(mixture.log_odds(), owner, rival)), mixture
+        weighted = kept.withColumn("_p", constrained(mixture.log_odds(), owner, target, rival, facts))
+    mixture.rounds, mixture.moves, mixture.converged = len(moves) + 1, moves, bool(moves) and moves[-1] < tolerance
+    if not mixture.converged:
+        logging.getLogger(__name__).warning("the mixture still moved by %.3g after %d rounds", moves[-1] if moves else math.nan, mixture.rounds)
+    return kept.withColumn("posterior", constrained(mixture.log_odds(), owner, target, rival, facts)), mixture

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.killings import GROUPS, attribute_bits, candidate_pairs, orphan_records, register_records, shifted
+from tidemark.llm.killings import BLOCKS, candidate_pairs, orphan_records, register_records
 from tidemark.llm.mixture import fit_and_score
 from tidemark.session import Scratch, read_table
 
@@ -15,9 +15,8 @@ def p1_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark)
     orphans = scratch.keep(orphan_records(read_table(spark, sf_dir, "orphan_link_input")), "orphans")
     register = scratch.keep(register_records(read_table(spark, sf_dir, "shr")), "register")
-    worth = attribute_bits(register)
-    by_chance = candidate_pairs(orphans, shifted(register), worth)
-    scored, _ = fit_and_score(candidate_pairs(orphans, register, worth), GROUPS, owner="l_id", rival="rival", background=by_chance)
+    pairs = candidate_pairs(orphans, register)
+    scored, _ = fit_and_score(pairs, BLOCKS, owner="l_id", target="r_id", rival="incident", facts=("l_sex", "l_race"), chance="chance")
     return scored.select(F.col("r_id").alias("shr_index"), F.col("l_id").alias("unique_id"), "posterior")
 
 
