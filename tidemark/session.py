@@ -7,6 +7,7 @@ import os
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,6 +47,19 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+@contextmanager
+def compiled_in_parts(spark: SparkSession):
+    """For actions with very large expressions: the JVM compiles no method of more than 8000 bytes of code, so stages
+    that would be one such method run expression by expression instead. The setting is put back afterwards."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "8000")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 class Scratch:
     """Tables written in the shared folder to cut lineage; they outlive the loss of any executor.
 
