@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import Scratch
+from tidemark.session import Scratch, compiled_in_parts
 
 
 @dataclass
@@ -61,20 +61,26 @@ class Mixture:
             cond = F.lit(True)
             for i, name in enumerate(features):
                 cond = cond & (F.col(name).isNotNull() if mask >> i & 1 else F.col(name).isNull())
-            value = _density(features, matched, seen) - _density(features, unmatched, seen)
+            value = _difference([features[i] for i in seen], matched, unmatched, seen)
             out = F.when(cond, value) if out is None else out.when(cond, value)
         return out.otherwise(0.0)
 
 
-def _density(features: tuple[str, ...], c: Component, seen: list[int]) -> Column:
-    cov = c.cov[np.ix_(seen, seen)]
-    inverse = np.linalg.inv(cov)
-    quad = F.lit(0.0)
-    d = [F.col(features[i]) - float(c.mean[i]) for i in seen]
-    for a in range(len(seen)):
-        for b in range(a, len(seen)):
-            quad = quad + d[a] * d[b] * float(inverse[a, b] * (1 if a == b else 2))
-    return F.lit(float(-0.5 * (np.linalg.slogdet(cov)[1] + len(seen) * math.log(2 * math.pi)))) - 0.5 * quad
+def _difference(names: list[str], matched: Component, unmatched: Component, seen: list[int]) -> Column:
+    """The log of the ratio of two Gaussian densities, as one polynomial of the second degree."""
+    const, linear, square = 0.0, np.zeros(len(seen)), np.zeros((len(seen), len(seen)))
+    for sign, c in ((1, matched), (-1, unmatched)):
+        mean, cov = c.mean[seen], c.cov[np.ix_(seen, seen)]
+        inverse = np.linalg.inv(cov)
+        const -= 0.5 * sign * float(np.linalg.slogdet(cov)[1] + mean @ inverse @ mean)
+        linear += sign * (inverse @ mean)
+        square -= 0.5 * sign * inverse
+    out = F.lit(const)
+    for i, a in enumerate(names):
+        out = out + F.col(a) * float(linear[i])
+        for j in range(i, len(names)):
+            out = out + F.col(a) * F.col(names[j]) * float(square[i, j] * (1 if i == j else 2))
+    return out
 
 
 def _moments(blocks: Sequence[Block], p: Column) -> list[Column]:
@@ -127,6 +133,10 @@ def _split(pairs: DataFrame, total: Column, bins: int = 200) -> float:
     return float(lo + (int(between.argmax()) + 1) * width)
 
 
+def odds_of(log_odds: Column) -> Column:
+    return F.exp(F.least(F.greatest(log_odds, F.lit(-60.0)), F.lit(60.0)))
+
+
 def constrained(odds: Column, owner: str, target: str | None = None, rival: str | None = None, facts: Sequence[str] = ()) -> Column:
     """The posterior under transitivity. With records A, B of one table and R of the other:
 
@@ -137,19 +147,18 @@ def constrained(odds: Column, owner: str, target: str | None = None, rival: str
 
     What is left is 'no match'. Among the reasons for which records of one target exclude A, the one with the most
     mass counts."""
-    capped = F.exp(F.least(F.greatest(odds, F.lit(-60.0)), F.lit(60.0)))
-    others = F.sum(capped).over(Window.partitionBy(owner))
+    others = F.sum(odds).over(Window.partitionBy(owner))
     if target:
         against = []
         if rival:
-            against.append(F.sum(capped).over(Window.partitionBy(target, rival)) - capped)
+            against.append(F.sum(odds).over(Window.partitionBy(target, rival)) - odds)
         for f in facts:
-            known = F.when(F.col(f).isNotNull(), capped)
+            known = F.when(F.col(f).isNotNull(), odds)
             other = F.sum(known).over(Window.partitionBy(target)) - F.sum(known).over(Window.partitionBy(target, f))
             against.append(F.when(F.col(f).isNotNull(), F.coalesce(other, F.lit(0.0))).otherwise(0.0))
         if against:
             others = others + F.greatest(*against, F.lit(0.0))
-    return capped / (1 + others)
+    return odds / (1 + others)
 
 
 def fit_and_score(
@@ -183,7 +192,8 @@ def fit_and_score(
     scratch, blocks = Scratch(pairs.sparkSession), tuple(blocks)
     features = [f for b in blocks for f in b.features]
     if chance:
-        both = scratch.keep(pairs.withColumn("_chance", F.coalesce(F.col(chance), F.lit(False))), "pairs", by="_chance")
+        with compiled_in_parts(pairs.sparkSession):
+            both = scratch.keep(pairs.withColumn("_chance", F.coalesce(F.col(chance), F.lit(False))), "pairs", by="_chance")
         kept, beside = both.filter(~F.col("_chance")).drop("_chance"), both.filter("_chance")
     else:
         kept, beside = scratch.keep(pairs, "pairs"), None
@@ -200,9 +210,14 @@ def fit_and_score(
         total = sum((F.coalesce(F.col(f), F.lit(0.0)) for f in features[1:]), F.coalesce(F.col(features[0]), F.lit(0.0)))
         start = F.when(total >= _split(kept, total), 0.95).otherwise(0.05)
     weighted, mixture, moves = kept.withColumn("_p", start), None, []
+
+    def posterior(name: str) -> DataFrame:
+        return kept.withColumn("_odds", odds_of(mixture.log_odds())).withColumn(name, constrained(F.col("_odds"), owner, target, rival, facts))
+
     for _ in range(rounds):
         p = F.col("_p")
-        row = numbers(weighted.agg(*_moments(blocks, p), *_moments(blocks, 1 - p)).first())
+        with compiled_in_parts(pairs.sparkSession):
+            row = numbers(weighted.agg(*_moments(blocks, p), *_moments(blocks, 1 - p)).first())
         share = min(max(row[0] / n, 1e-6), 1 - 1e-6)
         new = Mixture(blocks, share, _components(row[:width], blocks), _components(row[width:] + anchor, blocks))
         if mixture is not None:
@@ -210,8 +225,8 @@ def fit_and_score(
         mixture = new
         if moves and moves[-1] < tolerance:
             break
-        weighted = kept.withColumn("_p", constrained(mixture.log_odds(), owner, target, rival, facts))
+        weighted = posterior("_p")
     mixture.rounds, mixture.moves, mixture.converged = len(moves) + 1, moves, bool(moves) and moves[-1] < tolerance
     if not mixture.converged:
         logging.getLogger(__name__).warning("the mixture still moved by %.3g after %d rounds", moves[-1] if moves else math.nan, mixture.rounds)
-    return kept.withColumn("posterior", constrained(mixture.log_odds(), owner, target, rival, facts)), mixture
+    return posterior("posterior").drop("_odds"), mixture
