@@ -4,9 +4,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import assignment, blocking, clustering, linkage
+from tidemark.operators import assignment, blocking, clustering, jobs, linkage
 from tidemark.operators.blocking import Rule
-from tidemark.operators.linkage import Comparison, Level, Model
+from tidemark.operators.linkage import Comparison, Level, Model, Training
 
 
 def people(spark, n=200, seed=3):
@@ -64,11 +64,63 @@ def test_em_recovers_known_probabilities(spark):
     df = spark.createDataFrame(rows, "i int, a struct<v: int>, b struct<v: int>, c struct<v: int>")
     pairs = df.select(F.struct(F.col("a.v").alias("a"), F.col("b.v").alias("b"), F.col("c.v").alias("c")).alias("l"), F.struct(F.lit(1).alias("a"), F.lit(1).alias("b"), F.lit(1).alias("c")).alias("r"))
     comps = tuple(Comparison(n, "false", (Level("same", f"l.{n} = r.{n}", 0.7, u), Level("else", "true", 0.3, 1 - u))) for n, u in zip("abc", truth["u"]))
-    model, rounds = linkage.train_m(pairs, Model(0.2, comps))
+    model, rounds = linkage.train_m(linkage.patterns(pairs, comps), Model(0.2, comps))
     assert rounds < 100
     assert [round(c.levels[0].m, 1) for c in model.comparisons] == [0.9, 0.8, 0.9] or all(abs(c.levels[0].m - m) < 0.04 for c, m in zip(model.comparisons, truth["m"]))
 
 
+def two(name, column, m, u):
+    return Comparison(name, f"l.{column} is null or r.{column} is null", (Level("same", f"l.{column} = r.{column}", m, u), Level("else", "true", 1 - m, 1 - u)))
+
+
+def test_what_a_block_makes_equal_is_left_out():
+    comps = (two("name", "name", 0.9, 0.1), two("city", "city", 0.9, 0.1), two("age", "age", 0.9, 0.1))
+    assert linkage.columns_of(comps[0]) == {"name"}
+    month = Training((Rule("a", ("city", "soundex(name)")),), ("age",))
+    assert month.excluded(comps) == ("city", "age")
+    assert Training((Rule("a", ("city", "name")), Rule("b", ("city", "age")))).excluded(comps) == ("city",)
+
+
+def test_prior_inside_a_block_and_copied_ratio():
+    c = Comparison("date", "false", (Level("day", "true", 0.5, 0.001), Level("month", "true", 0.3, 0.009), Level("else", "true", 0.2, 0.99)))
+    m = Model(0.001, (c, two("sex", "sex", 0.95, 0.5)))
+    odds = 0.001 / 0.999 * (0.8 / 0.01)
+    assert linkage.block_prior(m, {"date": 2}) == pytest.approx(odds / (1 + odds))
+    assert linkage.block_prior(m, {}) == pytest.approx(0.001)
+    copied = linkage.copy_ratio(m, "date", 2, 1).comparisons[0]
+    assert copied.level_of(1).m / copied.level_of(1).u == pytest.approx(500) and copied.level_of(1).m == 0.3
+
+
+def test_outer_runs_stop_when_nothing_moves(spark):
+    rng, rows = np.random.default_rng(6), []
+    for _ in range(12_000):
+        p = (0.9, 0.85, 0.8) if rng.random() < 0.3 else (0.1, 0.2, 0.3)
+        rows.append(tuple(int(rng.random() < q) for q in p))
+    df = spark.createDataFrame(rows, "a int, b int, c int")
+    pairs = df.select(F.struct("a", "b", "c").alias("l"), F.struct(F.lit(1).alias("a"), F.lit(1).alias("b"), F.lit(1).alias("c")).alias("r"))
+    comps = tuple(two(n, n, 0.7, u) for n, u in zip("abc", (0.1, 0.2, 0.3)))
+    blocks = [(t, linkage.patterns(pairs, comps, t.excluded(comps))) for t in (Training((Rule("x", ("k",)),)), Training((Rule("y", ("k",)),), implied={"a": 1}))]
+    model, moves = linkage.train_runs(blocks, Model(0.05, comps), most=8)
+    assert len(moves) < 8 and moves[-1] < 0.002 < moves[0]
+    assert [round(c.levels[0].m, 1) for c in model.comparisons] == [0.9, 0.8, 0.8] or max(abs(c.levels[0].m - m) for c, m in zip(model.comparisons, (0.9, 0.85, 0.8))) < 0.04
+    assert model.prior == 0.05
+    assert len(linkage.train_runs(blocks, Model(0.05, comps), most=1)[1]) == 1
+
+
+def test_a_saved_model_scores_without_training(spark):
+    model = Model(0.2, (two("x", "x", 0.9, 0.1),), {"tables": "t1"})
+    job = jobs.Job("id", (), (Rule("k", ("k",)),), predict_threshold=0.0)
+    ready = jobs.inference_only(job, model.to_json(), {"tables": "t1"})
+    df = spark.createDataFrame([(1, "k", 5), (2, "k", 5), (3, "k", 6)], "id int, k string, x int")
+    got = {(r["id_l"], r["id_r"]): r["match_probability"] for r in jobs.run(ready, df).pairs.collect()}
+    assert got[1, 2] == pytest.approx(0.25 * 9 / (1 + 0.25 * 9), abs=1e-6) and got[1, 3] < 0.1
+    with pytest.raises(ValueError):
+        jobs.inference_only(job, model.to_json(), {"tables": "t2"})
+    jobs.required_columns(df, ["id", "k"], "left")
+    with pytest.raises(ValueError, match="left lacks z"):
+        jobs.required_columns(df, ["id", "z"], "left")
+
+
 def edges(spark, rows):
     return spark.createDataFrame(rows, "l string, r string, p double")
 
@@ -105,7 +157,27 @@ def test_constrained_clusters(spark):
 def test_provenance_is_breadth_first(spark):
     e = edges(spark, [("a", "b", 0.9), ("b", "c", 0.9), ("a", "d", 0.9), ("d", "c", 0.9)])
     got = {r["member_id"]: r["linked_from"] for r in clustering.constrained_clusters(e, "l", "r", "p")["clusters"].collect()}
-    assert got == {"a": None, "b": "a", "d": "a", "c": "b"}
+    assert got == {"a": None, "b": "a", "d": "a", "c": "b"}  # d-c comes last and unites nothing
+
+
+def test_an_edge_within_a_group_is_no_provenance(spark):
+    e = edges(spark, [("1", "2", 0.9), ("2", "3", 0.8), ("1", "3", 0.7)])
+    got = {r["member_id"]: (r["linked_from"], r["linked_prob"]) for r in clustering.constrained_clusters(e, "l", "r", "p")["clusters"].collect()}
+    assert got == {"1": (None, None), "2": ("1", 0.9), "3": ("2", 0.8)}
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_full_assignment_matches_as_many_as_can_be(seed):
+    from itertools import permutations
+
+    rng = np.random.default_rng(100 + seed)
+    w = rng.normal(-3, 4, (rng.integers(1, 5), rng.integers(1, 6)))
+    w[rng.random(w.shape) < 0.3] = np.nan
+    t = w if w.shape[0] <= w.shape[1] else w.T
+    best = max((sum(~np.isnan(c)), np.nansum(c)) for p in permutations(range(t.shape[1]), t.shape[0]) for c in [np.array([t[i, j] for i, j in enumerate(p)])])
+    picked = assignment.assign(w, full=True)
+    got = [w[i, j] for i, j in picked]
+    assert not np.isnan(got).any() and len(picked) == best[0] and sum(got) == pytest.approx(best[1])
 
 
 @pytest.mark.parametrize("seed", range(12))

@@ -12,14 +12,19 @@ from pyspark.sql import functions as F
 from tidemark.operators.clustering import connected_components
 
 
-def assign(weights: np.ndarray) -> list[tuple[int, int]]:
+def assign(weights: np.ndarray, full: bool = False) -> list[tuple[int, int]]:
     """(row, column) pairs of the largest total weight; NaN = not allowed, pairs of no positive weight stay unmatched.
+    With ``full`` as many pairs as can be are matched, whatever their weights, and among such matchings the total is the
+    largest.
 
     Shortest augmenting paths with potentials, O(n^2 m). Among equal totals, rows in order take the smallest columns:
     a preference far below the weights' own differences decides."""
     n, m = weights.shape
     if n > m:
-        return sorted((i, j) for j, i in assign(weights.T))
+        return sorted((i, j) for j, i in assign(weights.T, full))
+    if full and not np.isnan(weights).all():
+        low, high = np.nanmin(weights), np.nanmax(weights)
+        weights = weights - low + (high - low + 1.0) * (n + 1)  # one pair more outweighs any change of the others
     gain = np.where(np.isnan(weights), 0.0, np.maximum(weights, 0.0))
     top = float(gain.max()) if gain.size else 0.0
     lean = np.add.outer(np.arange(n) * 0.0, np.arange(m, 0, -1)) * (np.arange(n, 0, -1)[:, None]) / (max(n, 1) * max(m, 1) ** 2 * max(n, 1))
@@ -52,15 +57,16 @@ def assign(weights: np.ndarray) -> list[tuple[int, int]]:
     return sorted((int(match[j]) - 1, j - 1) for j in range(1, m + 1) if match[j] and gain[match[j] - 1, j - 1] > 0)
 
 
-def match_groups(scored: DataFrame, group: str, left: str, right: str, weight: str) -> DataFrame:
-    """(group, left, right, weight): the best one-to-one matching within each group. Ties go to smaller ids."""
+def match_groups(scored: DataFrame, group: str, left: str, right: str, weight: str, full: bool = False) -> DataFrame:
+    """(group, left, right, weight): the best one-to-one matching within each group (see ``assign`` for ``full``). Ties go to
+    smaller ids. A group is one task's matrix: n x m cells, n at most m, and n steps over it at worst n x m long."""
     kinds = {c: scored.schema[c].dataType.simpleString() for c in (group, left, right)}
     best = scored.filter(F.col(left).isNotNull() & F.col(right).isNotNull()).groupBy(group, left, right).agg(F.max(F.col(weight).cast("double")).alias(weight))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         wide = pdf.pivot(index=left, columns=right, values=weight).sort_index(axis=0).sort_index(axis=1)
         w = wide.to_numpy()
-        picked = assign(w)
+        picked = assign(w, full)
         return pd.DataFrame(
             {group: pdf[group].iloc[0], left: [wide.index[i] for i, _ in picked], right: [wide.columns[j] for _, j in picked], weight: [w[i, j] for i, j in picked]},
             columns=[group, left, right, weight],

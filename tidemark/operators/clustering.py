@@ -56,8 +56,7 @@ def _greedy(edges: list[tuple], barred: dict) -> tuple[dict, list[tuple], list[t
     accepted, blocked = [], []
     for l, r, p in sorted(edges, key=lambda e: (-e[2], e[0], e[1])):
         a, b = find(l), find(r)
-        if a == b:
-            accepted.append((l, r, p))
+        if a == b:  # already one group: such an edge unites nothing and is nobody's provenance
             continue
         shared = ids[a] & ids[b]
         if shared:

@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 from tidemark.functions.similarity import jaro_winkler
 from tidemark.operators.blocking import Rule, date_bucket_rules
-from tidemark.operators.linkage import Comparison, Level
+from tidemark.operators.linkage import Comparison, Level, Training
 
 # Groups of circumstances that are close to one another (fixed values).
 CIRCUMSTANCE_GROUPS = (
@@ -122,6 +122,7 @@ def summary(column: str = "summary_vec") -> Comparison:
 
 
 APART = "l.exclusion_id <> r.exclusion_id"
+NOT_LISTED = "not array_contains(coalesce(r.exclusion_ids, array()), l.unique_id)"
 
 
 def named_victim_rules(city: str = "city_id") -> tuple[Rule, ...]:
@@ -139,9 +140,26 @@ def named_victim_rules(city: str = "city_id") -> tuple[Rule, ...]:
     )
 
 
+def named_victim_training(city: str = "city_id") -> tuple[Training, ...]:
+    """Blocks that train the weights for named victims. A block of one month implies the two upper levels of dates."""
+    years = f"abs(l.year - r.year) <= 2 and {APART}"
+    either = (Rule("surname", (city, "victim_surname"), years), Rule("forename", (city, "victim_forename"), years))
+    return (
+        Training((Rule("month", (city, "year", "month"), APART),), ("date",), {"date": 2}),
+        Training(either, ("name",)),
+        Training((Rule("age and sex", (city, "victim_age", "victim_sex"), APART),)),
+        Training((Rule("offender age and sex", (city, "offender_age", "offender_sex"), APART),)),
+    )
+
+
+def named_victim_sure(city: str = "city_id") -> tuple[Rule, ...]:
+    """Full name, date and place at once."""
+    return (Rule("name, date, place", (city, "victim_fullname", "midpoint_day"), f"{BOX} and {APART}"),)
+
+
 def orphan_rules(city: str = "city_id") -> tuple[Rule, ...]:
     """Blocks between named entities (left) and unnamed victims (right); articles they share are excluded."""
-    apart = "not array_contains(coalesce(r.exclusion_ids, array()), l.unique_id)"
+    apart = NOT_LISTED
     return (
         Rule("month", (city, "year", "month"), apart),
         *date_bucket_rules("date and box", "midpoint_day", 213, (city,), f"{BOX} and {apart}"),
@@ -155,6 +173,32 @@ def orphan_rules(city: str = "city_id") -> tuple[Rule, ...]:
     )
 
 
+def orphan_training(city: str = "city_id") -> tuple[Training, ...]:
+    year = f"abs(l.midpoint_day - r.midpoint_day) <= 370 and {NOT_LISTED}"
+    return (
+        Training((Rule("month", (city, "year", "month"), NOT_LISTED),), ("date",), {"date": 2}),
+        Training((Rule("age and sex", (city, "victim_age", "victim_sex"), year),)),
+        Training((Rule("sex and street", (city, "victim_sex", "geo_address_short"), NOT_LISTED),), ("place",)),
+        Training((Rule("offender", (city, "offender_age", "offender_sex"), year),)),
+    )
+
+
+def orphan_sure(city: str = "city_id") -> tuple[Rule, ...]:
+    return (Rule("day, place, sex", (city, "year", "month", "day", "victim_sex"), f"{BOX} and {NOT_LISTED}"),)
+
+
+def register_training(city: str = "city_id") -> tuple[Training, ...]:
+    """A month with a weapon, and victim and offender alike under one circumstance."""
+    return (
+        Training((Rule("month and weapon", (city, "year", "month", "weapon")),), ("date",), {"date": 2}),
+        Training((Rule("ages, sex, circumstance", (city, "victim_age", "victim_sex", "circumstance", "offender_age")),)),
+    )
+
+
+def register_sure(city: str = "city_id") -> tuple[Rule, ...]:
+    return (Rule("month, age, sex, weapon, circumstance", (city, "year", "month", "victim_age", "victim_sex", "weapon", "circumstance")),)
+
+
 def register_rules(city: str = "city_id") -> tuple[Rule, ...]:
     """Blocks between entities (left) and register rows (right)."""
     return (*date_bucket_rules("date", "midpoint_day", 213, (city,)), Rule("age, sex", (city, "victim_age", "victim_sex"), "r.year >= l.year"))

@@ -11,26 +11,30 @@ from pyspark.sql import functions as F
 from tidemark.operators import assignment, blocking, clustering, linkage
 from tidemark.operators.blocking import Rule
 from tidemark.operators.comparisons import register_functions
-from tidemark.operators.linkage import Comparison, Model
+from tidemark.operators.linkage import Comparison, Model, Training
 from tidemark.session import Scratch
 
 
 @dataclass(frozen=True)
 class Job:
-    """comparisons and rules; ``training``: (rule, comparisons it implies); ``deterministic`` rules and their recall give the
+    """comparisons and rules; ``training``: blocks to learn from, in at most ``em_runs`` outer runs that stop at ``em_stop``;
+    ``copies``: (comparison, level, level whose m/u becomes the first's); ``deterministic`` rules and their recall give the
     prior. ``exclusion``: column with an id that two records of a cluster must not share. With ``two_passes``, unions the first
     clustering blocks are barred from the pairs of the second. ``model``: a trained one, for inference only."""
 
     id_col: str
     comparisons: tuple[Comparison, ...]
     rules: tuple[Rule, ...]
-    training: tuple[tuple[Rule, tuple[str, ...]], ...] = ()
+    training: tuple[Training, ...] = ()
     deterministic: tuple[Rule, ...] = ()
     recall: float = 0.5
     predict_threshold: float = 0.05
     cluster_threshold: float = 0.0
     random_pairs: int = 1_000_000
     em_rounds: int = 100
+    em_runs: int = 1
+    em_stop: float = 0.002
+    copies: tuple[tuple[str, int, int], ...] = ()
     exclusion: str | None = None
     two_passes: bool = False
     one_to_one: bool = False
@@ -49,15 +53,20 @@ class Result:
 
 
 def train(job: Job, left: DataFrame, right: DataFrame | None) -> Model:
-    """The prior from deterministic pairs, u from random pairs, m by EM in each training block, averaged."""
+    """The prior from deterministic pairs, u from random pairs, m by EM in the training blocks. A block's pairs are read once,
+    whatever the number of runs."""
     n, m = left.count(), right.count() if right is not None else None
     all_pairs = n * (n - 1) / 2 if m is None else n * m
     prior = 1e-4
     if job.deterministic:
         prior = linkage.prior_from_rules(blocking.block_pairs(left, right, job.id_col, job.deterministic).count(), job.recall, all_pairs)
     model = Model(prior, linkage.estimate_u(left, right, job.comparisons, job.random_pairs))
-    trained = [linkage.train_m(blocking.block_pairs(left, right, job.id_col, [rule]), model, implied, job.em_rounds)[0] for rule, implied in job.training]
-    return linkage.average_models(trained) if trained else model
+    blocks = [(t, linkage.patterns(blocking.block_pairs(left, right, job.id_col, t.rules), model.comparisons, t.excluded(model.comparisons))) for t in job.training]
+    if blocks:
+        model, _ = linkage.train_runs(blocks, model, job.em_runs, stop=job.em_stop, rounds=job.em_rounds)
+    for name, source, target in job.copies:
+        model = linkage.copy_ratio(model, name, source, target)
+    return model
 
 
 def run(job: Job, left: DataFrame, right: DataFrame | None = None) -> Result:

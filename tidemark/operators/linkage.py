@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import math
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 
@@ -11,6 +12,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.blocking import Rule
+
 
 @dataclass(frozen=True)
 class Level:
@@ -155,21 +158,44 @@ def _with(c: Comparison, what: str, by_gamma: Sequence[float]) -> Comparison:
     return replace(c, levels=tuple(replace(v, **{what: float(by_gamma[top - k])}) for k, v in enumerate(c.levels)))
 
 
-def train_m(pairs: DataFrame, model: Model, fixed: Sequence[str] = (), rounds: int = 100, stop: float = 1e-4) -> tuple[Model, int]:
-    """m probabilities (and the prior inside the block) by expectation-maximisation over the pairs of one training block.
+@dataclass(frozen=True)
+class Training:
+    """A block to learn m from, the pairs of one or several rules. ``fixed``: comparisons the block says nothing about, besides those that read a column it makes
+    equal. ``implied``: for comparisons whose upper levels the block implies, how many; they raise the prior inside it."""
+
+    rules: tuple[Rule, ...]
+    fixed: tuple[str, ...] = ()
+    implied: Mapping[str, int] = field(default_factory=dict)
+
+    def excluded(self, comparisons: Sequence[Comparison]) -> tuple[str, ...]:
+        equal = set.intersection(*[{k for k in r.keys if k.isidentifier()} for r in self.rules])
+        return tuple(c.name for c in comparisons if c.name in self.fixed or equal & columns_of(c))
+
+
+def columns_of(c: Comparison) -> set[str]:
+    """The columns a comparison reads on either side."""
+    return set(re.findall(r"\b[lr]\.(\w+)", " ".join([str(c.missing), *(str(v.when) for v in c.levels)])))
 
-    The pairs become counts of gamma patterns in one aggregation; the iterations run on those few rows. ``fixed`` are the
-    comparisons whose columns the block makes equal: they tell nothing there and keep their values. Stops when no
+
+def patterns(pairs: DataFrame, comparisons: Sequence[Comparison], fixed: Sequence[str] = ()) -> list[tuple]:
+    """What ``train_m`` needs of a block's pairs: the counts of the free comparisons' gamma patterns, one aggregation."""
+    free = [c for c in comparisons if c.name not in fixed]
+    return _pattern_counts(compare(pairs, free), free)
+
+
+def train_m(rows: Sequence[tuple], model: Model, fixed: Sequence[str] = (), rounds: int = 100, stop: float = 1e-4, share: float | None = None) -> tuple[Model, int]:
+    """m probabilities (and the prior inside the block) by expectation-maximisation over the ``patterns`` of one training
+    block; the iterations run on those few rows. ``fixed`` are the comparisons whose columns the block makes equal: they
+    tell nothing there and keep their values. ``share``: the prior inside the block to start from. Stops when no
     log2(m/u) moves by more than ``stop``. Returns the model with its own prior, and the rounds used."""
     free = [c for c in model.comparisons if c.name not in fixed]
-    rows = _pattern_counts(compare(pairs, free), free)
     if not rows:
         return model, 0
     n = np.array([r[-1] for r in rows], float)
     gamma = np.array([r[:-1] for r in rows], int)
     m = [np.array([c.level_of(g).m for g in range(len(c.levels))]) for c in free]
     u = [np.array([c.level_of(g).u for g in range(len(c.levels))]) for c in free]
-    share, used = model.prior if model.prior > 0.01 else 0.1, 0
+    share, used = share or (model.prior if model.prior > 0.01 else 0.1), 0
     for used in range(1, rounds + 1):
         ratio = np.full(len(rows), math.log(share / (1 - share)))
         for i in range(len(free)):
@@ -188,23 +214,38 @@ def train_m(pairs: DataFrame, model: Model, fixed: Sequence[str] = (), rounds: i
     return Model(model.prior, tuple(trained.get(c.name, c) for c in model.comparisons), model.meta), used
 
 
-def average_models(models: Sequence[Model]) -> Model:
-    """One model from several training blocks: the mean of log m over the blocks."""
-    first, out = models[0], []
-    for i, c in enumerate(first.comparisons):
-        logs = np.mean([[math.log(m.comparisons[i].level_of(g).m) for g in range(len(c.levels))] for m in models], axis=0)
-        out.append(_with(c, "m", list(np.exp(logs) / np.exp(logs).sum())))
-    return Model(first.prior, tuple(out), first.meta)
+def train_runs(blocks: Sequence[tuple[Training, Sequence[tuple]]], model: Model, most: int = 3, least: int = 1, stop: float = 0.002, rounds: int = 100) -> tuple[Model, list[float]]:
+    """Outer runs over all training blocks (with their ``patterns``). In a run each block starts from the run's model, with the
+    prior raised by what the block implies and put back afterwards; the blocks' m are averaged where they are free. Runs end
+    when, after ``least``, no level's log2(m/u) has moved by ``stop``, at the latest after ``most``. Returns the moves, too."""
+    moves: list[float] = []
+    for run in range(most):
+        trained = []
+        for t, rows in blocks:
+            out = t.excluded(model.comparisons)
+            trained.append((train_m(rows, model, out, rounds, share=block_prior(model, t.implied) if t.implied else None)[0], out))
+        comparisons = []
+        for i, c in enumerate(model.comparisons):
+            free = [m.comparisons[i] for m, out in trained if c.name not in out]
+            if free:
+                logs = np.mean([[math.log(f.level_of(g).m) for g in range(len(c.levels))] for f in free], axis=0)
+                c = _with(c, "m", list(np.exp(logs) / np.exp(logs).sum()))
+            comparisons.append(c)
+        pairs = [(a.level_of(g), b.level_of(g)) for a, b in zip(model.comparisons, comparisons) for g in range(len(a.levels))]
+        moves.append(max((abs(math.log2(a.m / a.u) - math.log2(b.m / b.u)) for a, b in pairs), default=0.0))
+        model = Model(model.prior, tuple(comparisons), model.meta)
+        if run and run + 1 >= least and moves[-1] < stop:
+            break
+    return model, moves
 
 
 def block_prior(model: Model, implied: Mapping[str, int]) -> float:
-    """The prior inside a block that implies certain levels: odds times m/u of each."""
-    odds = model.prior / (1 - model.prior)
-    for c in model.comparisons:
-        if c.name in implied:
-            v = c.level_of(implied[c.name])
-            odds *= v.m / v.u
-    return odds / (1 + odds)
+    """The prior inside a block that implies one of the upper levels of some comparisons (name -> how many of them): the odds
+    times sum(m) / sum(u) of all these levels."""
+    levels = [c.level_of(len(c.levels) - 1 - k) for c in model.comparisons if c.name in implied for k in range(implied[c.name])]
+    u = sum(v.u for v in levels)
+    odds = model.prior / (1 - model.prior) * (sum(v.m for v in levels) / u if u else 1.0)
+    return min(max(odds / (1 + odds), 1e-9), 1 - 1e-9)
 
 
 def copy_ratio(model: Model, name: str, source: int, target: int) -> Model:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import assignment, blocking, canonical, cluster_diff, clustering, linkage, tables
 from tidemark.operators.blocking import Rule
-from tidemark.operators.linkage import Comparison, Level, Model
+from tidemark.operators.linkage import Comparison, Level, Model, Training
+from tidemark.session import Scratch
 from tidemark.session import read_table as T
 
 QUERIES: dict = {}
@@ -140,24 +143,23 @@ def q_em_train(spark: SparkSession, sf: str) -> DataFrame:
     exact = blocking.block_pairs(c, None, "c_custkey", [Rule("exact", ("c_nationkey", "c_mktsegment", "round(c_acctbal, -1)"))], _CUSTOMERS).count()
     n = c.count()
     prior = linkage.prior_from_rules(exact, 0.6, n * (n - 1) / 2)
-    model = Model(prior, linkage.estimate_u(c.select("c_custkey", *_CUSTOMERS), None, MODEL.comparisons, pairs=200_000))
-    trained = []
+    model = Model(prior, linkage.estimate_u(c.select("c_custkey", *_CUSTOMERS), None, MODEL.comparisons, pairs=1_000_000))
+    blocks = []
     for rule, fixed in ((Rule("by_segment", ("c_mktsegment", "floor(c_acctbal / 100)")), ("segment",)), (Rule("by_nation", ("c_nationkey", "floor(c_acctbal / 1000)")), ("nation",))):
-        trained.append(linkage.train_m(blocking.block_pairs(c, None, "c_custkey", [rule], _CUSTOMERS), model, fixed)[0])
-    return linkage.parameter_table(spark, linkage.average_models(trained))
+        t = Training((rule,), fixed)
+        blocks.append((t, linkage.patterns(blocking.block_pairs(c, None, "c_custkey", t.rules, _CUSTOMERS), model.comparisons, t.excluded(model.comparisons))))
+    model, _ = linkage.train_runs(blocks, model)
+    return linkage.parameter_table(spark, model)
 
 
 # Clusters.
 
 
-def _near_copies(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Edges between the vectors of one label by cosine, and one exclusion id (label and a tenth) per vector."""
-    from tidemark.functions.vectors import cosine
-
-    e = T(spark, sf, "embeddings").select("vec_id", "embedding", "label")
-    a, b = e.toDF("id_l", "va", "label"), e.toDF("id_r", "vb", "label")
-    edges = a.join(b, "label").filter("id_l < id_r").select("id_l", "id_r", F.round((cosine(F.col("va"), F.col("vb")) + 1) / 2, 6).alias("p"))
-    return edges.filter("p >= 0.62"), e.select(F.col("vec_id").alias("member_id"), (F.col("vec_id") % 10).cast("string").alias("exclusion_id"))
+def _scored_orphans(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The scored pairs of unnamed victims, and their article as the id that two members of a cluster must not share."""
+    p = T(spark, sf, "postadj_orphan_cluster_pairs").filter("match_probability >= 0.5").select(F.col("unique_id_l").alias("id_l"), F.col("unique_id_r").alias("id_r"), F.col("match_probability").alias("p"))
+    ids = p.select(F.col("id_l").alias("member_id")).unionByName(p.select(F.col("id_r").alias("member_id"))).filter("member_id is not null").distinct()
+    return p, ids.withColumn("exclusion_id", F.split_part("member_id", F.lit(":"), F.lit(1)))
 
 
 @query("""with recursive e as (select unique_id_l as a, unique_id_r as b from postadj_orphan_cluster_pairs where match_probability >= 0.8 and unique_id_l <> unique_id_r union select unique_id_r, unique_id_l from postadj_orphan_cluster_pairs where match_probability >= 0.8 and unique_id_l <> unique_id_r),
@@ -168,26 +170,56 @@ def q_connected_components(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def q_constrained_clusters(spark: SparkSession, sf: str) -> DataFrame:
-    edges, barred = _near_copies(spark, sf)
+    edges, barred = _scored_orphans(spark, sf)
     return clustering.constrained_clusters(edges, "id_l", "id_r", "p", barred)["clusters"].select("cluster_id", "member_id")
 
 
+_EDGES = """with e as (select least(unique_id_l, unique_id_r) as l, greatest(unique_id_l, unique_id_r) as r, max(match_probability) as p from postadj_orphan_cluster_pairs
+where match_probability >= 0.5 and unique_id_l <> unique_id_r group by all)"""
+
+
+@query(_EDGES + """ select (select count(*) from (select l from e union select r from e)) as members, 0 as members_in_several, 0 as shared_within, 0 as free_between,
+0 as links_unknown, 0 as roots_not_smallest, 0 as blocked_within""")
+def q_cluster_invariants(spark: SparkSession, sf: str) -> DataFrame:
+    """What constrained clusters must hold: every linked record in one cluster; no article twice in one; no edge between two
+    clusters that could still be united; every provenance link an edge with its probability; the root the smallest member."""
+    edges, barred = _scored_orphans(spark, sf)
+    out = clustering.constrained_clusters(edges, "id_l", "id_r", "p", barred)
+    c, scratch = out["clusters"], Scratch(spark)
+    held = scratch.keep(c.join(barred, "member_id").select("cluster_id", "member_id", "exclusion_id"), "held")
+    e = edges.filter("id_l is not null and id_r is not null and id_l != id_r").groupBy(F.least("id_l", "id_r").alias("l"), F.greatest("id_l", "id_r").alias("r")).agg(F.max("p").alias("p"))
+    sets = held.groupBy("cluster_id").agg(F.collect_set("exclusion_id").alias("x"))
+    ends = e.join(c.select(F.col("member_id").alias("l"), F.col("cluster_id").alias("cl")), "l").join(c.select(F.col("member_id").alias("r"), F.col("cluster_id").alias("cr")), "r").filter("cl != cr")
+    between = ends.select("cl", "cr").distinct().join(sets.toDF("cl", "xl"), "cl").join(sets.toDF("cr", "xr"), "cr")
+    links = c.filter("linked_from is not null").select(F.least("member_id", "linked_from").alias("l"), F.greatest("member_id", "linked_from").alias("r"), F.col("linked_prob").alias("p"))
+    inside = out["blocked"].join(c.select(F.col("member_id").alias("id_l"), F.col("cluster_id").alias("cl")), "id_l").join(c.select(F.col("member_id").alias("id_r"), F.col("cluster_id").alias("cr")), "id_r")
+    one = lambda df, name: df.agg(F.count("*").alias(name))
+    parts = [
+        c.agg(F.count_distinct("member_id").alias("members"), (F.count("*") - F.count_distinct("member_id")).alias("members_in_several")),
+        one(held.groupBy("cluster_id", "exclusion_id").count().filter("count > 1"), "shared_within"), one(between.filter(~F.arrays_overlap("xl", "xr")), "free_between"),
+        one(links.join(e, ["l", "r", "p"], "left_anti"), "links_unknown"),
+        one(c.groupBy("cluster_id").agg(F.min("member_id").alias("low"), F.count_if(F.col("linked_from").isNull()).alias("roots")).filter("low != cluster_id or roots != 1"), "roots_not_smallest"),
+        one(inside.filter("cl = cr"), "blocked_within"),
+    ]
+    return reduce(lambda a, b: a.crossJoin(b), parts)  # rows of one each
+
+
 @query()
 def q_cluster_provenance(spark: SparkSession, sf: str) -> DataFrame:
-    edges, barred = _near_copies(spark, sf)
+    edges, barred = _scored_orphans(spark, sf)
     return clustering.constrained_clusters(edges, "id_l", "id_r", "p", barred)["clusters"].filter("linked_from is not null")
 
 
 @query()
 def q_blocked_edges(spark: SparkSession, sf: str) -> DataFrame:
-    edges, barred = _near_copies(spark, sf)
+    edges, barred = _scored_orphans(spark, sf)
     return clustering.constrained_clusters(edges, "id_l", "id_r", "p", barred)["blocked"]
 
 
 @query()
 def q_second_pass_exclusions(spark: SparkSession, sf: str) -> DataFrame:
     """The two-pass form: unions blocked in the first pass become exclusion lists, and the second pass clusters without them."""
-    edges, barred = _near_copies(spark, sf)
+    edges, barred = _scored_orphans(spark, sf)
     first = clustering.constrained_clusters(edges, "id_l", "id_r", "p", barred)
     lists = clustering.exclusion_lists(first["blocked"])
     pairs = lists.select(F.col("id").alias("x"), F.explode("exclusion_ids").alias("y"))
@@ -197,14 +229,14 @@ def q_second_pass_exclusions(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def q_max_weight_match(spark: SparkSession, sf: str) -> DataFrame:
-    scored = _linked(spark, sf).select(F.col("l.id").alias("l"), F.col("r.id").alias("r"), (F.lit(500) - F.abs(F.col("l.acctbal") - F.col("r.acctbal"))).alias("w")).filter("w > 350")
+    scored = _linked(spark, sf).select(F.col("l.id").alias("l"), F.col("r.id").alias("r"), (F.lit(500) - F.abs(F.col("l.acctbal") - F.col("r.acctbal"))).alias("w"))
     return assignment.match_one_to_one(scored, "l", "r", "w").withColumn("w", F.round("w", 6))
 
 
 @query()
 def q_match_within_groups(spark: SparkSession, sf: str) -> DataFrame:
     scored = _linked(spark, sf).select(F.col("l.nation").alias("g"), F.col("l.id").alias("l"), F.col("r.id").alias("r"), (F.lit(500) - F.abs(F.col("l.acctbal") - F.col("r.acctbal"))).alias("w"))
-    return assignment.match_groups(scored, "g", "l", "r", "w").withColumn("w", F.round("w", 6))
+    return assignment.match_groups(scored, "g", "l", "r", "w", full=True).withColumn("w", F.round("w", 6))
 
 
 @query()

@@ -10,6 +10,7 @@ from tidemark.functions.names import name_parts
 from tidemark.operators import aggregates as agg
 from tidemark.operators import assignment, clustering, comparisons as cmp, jobs, validation
 from tidemark.operators.blocking import Rule
+from tidemark.operators.linkage import Training
 from tidemark.session import Scratch
 from tidemark.session import read_table as T
 
@@ -36,8 +37,8 @@ def named_victims(spark: SparkSession, sf: str) -> DataFrame:
     return v.select(
         F.col("entity_row_id").alias("unique_id"), "city_id", parts["forename"].alias("victim_forename"), parts["surname"].alias("victim_surname"), parts["full"].alias("victim_fullname"),
         F.when(sex.isin("m", "f", "w"), F.replace(sex, F.lit("w"), F.lit("f"))).alias("victim_sex"), F.when(race.isin("b", "w", "a", "i", "n"), F.replace(race, F.lit("n"), F.lit("i"))).alias("victim_race"),
-        ((F.col("min_event_day") + F.col("max_event_day")) / 2).alias("midpoint_day"), F.lit("day").alias("date_precision"), F.year(day).alias("year"), F.month(day).alias("month"), F.col("feed").alias("exclusion_id"),
-    ).filter("victim_surname is not null and victim_forename is not null")
+        ((F.col("min_event_day") + F.col("max_event_day")) / 2).alias("midpoint_day"), F.lit("day").alias("date_precision"), F.year(day).alias("year"), F.month(day).alias("month"), F.col("entity_row_id").cast("string").alias("exclusion_id"),
+    ).filter("victim_surname is not null")
 
 
 @query()
@@ -46,13 +47,30 @@ def q_dedupe_named_victims(spark: SparkSession, sf: str) -> DataFrame:
     barred here: feeds repeat themselves)."""
     job = jobs.Job(
         "unique_id", (cmp.name(), cmp.date(), cmp.same("victim_sex", "sex"), cmp.same("victim_race", "race")),
-        (Rule("names", ("city_id", "victim_surname", "victim_forename"), "abs(l.year - r.year) <= 2"), Rule("month", ("city_id", "year", "month")), Rule("year and surname sound", ("city_id", "year", "soundex(victim_surname)"))),
-        training=((Rule("month", ("city_id", "year", "month")), ("date",)), (Rule("names", ("victim_surname", "victim_forename")), ("name",))),
-        deterministic=(Rule("sure", ("city_id", "victim_surname", "victim_forename", "midpoint_day")),), recall=0.6, predict_threshold=0.6, cluster_threshold=0.75, random_pairs=100_000,
+        (*[r for r in cmp.named_victim_rules() if r.name in ("names", "left forename missing", "right forename missing")], Rule("month", ("city_id", "year", "month")), Rule("year and surname sound", ("city_id", "year", "soundex(victim_surname)"))),
+        training=(Training((Rule("month", ("city_id", "year", "month")),), ("date",)), Training((Rule("names", ("victim_surname", "victim_forename")),), ("name",))),
+        deterministic=(Rule("sure", ("city_id", "victim_surname", "victim_forename", "midpoint_day")),), recall=0.6, predict_threshold=0.6, cluster_threshold=0.75,
     )
     return jobs.run(job, Scratch(spark).keep(named_victims(spark, sf))).clusters.select("cluster_id", "member_id")
 
 
+@query()
+def q_dedupe_entities(spark: SparkSession, sf: str) -> DataFrame:
+    """Clusters of named entities by the whole catalogue of blocks for named victims, with its training and deterministic sets;
+    two entities of one article are never united, and unions the first pass blocks are not proposed again."""
+    e = coded(T(spark, sf, "entity_link_input").dropDuplicates(["unique_id"]))
+    parts = name_parts(F.col("victim_fullname_norm"))
+    rows = e.select(
+        "unique_id", "city_id", parts["forename"].alias("victim_forename"), parts["surname"].alias("victim_surname"), parts["full"].alias("victim_fullname"), "midpoint_day", "date_precision", "year", "month", "day",
+        "lat", "lon", "geo_address_norm", "geo_address_short", F.lit(None).cast("string").alias("address_type"), "victim_age", "victim_sex", "victim_race", "weapon", "circumstance", "relationship", "offender_age", "offender_sex", "exclusion_id", "summary_vec",
+    )
+    comparisons = (cmp.name(), cmp.date(), cmp.age(), cmp.place(), cmp.same("victim_sex", "sex"), cmp.same("victim_race", "race"), cmp.weapon(), cmp.circumstance(), cmp.age("offender_age", label="offender_age"), cmp.same("offender_sex"), cmp.summary())
+    job = jobs.Job(
+        "unique_id", comparisons, cmp.named_victim_rules(), training=cmp.named_victim_training(), deterministic=cmp.named_victim_sure(), recall=0.6, predict_threshold=0.05, cluster_threshold=0.5, exclusion="exclusion_id", two_passes=True, em_runs=3,
+    )
+    return jobs.run(job, Scratch(spark).keep(rows)).clusters.select("cluster_id", "member_id")
+
+
 def in_shared_months(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The rows of both sides in the months that both cover. A row known to the year only (no month) may lie in each month of its
     year: it covers them all, and stays if any month of its year is shared."""
@@ -91,8 +109,7 @@ def q_link_register(spark: SparkSession, sf: str) -> DataFrame:
     left, right = (scratch.keep(x) for x in in_shared_months(left, right))
     job = jobs.Job(
         "unique_id", (cmp.date(), cmp.age(steps=(0, 1, 2, 5, 10)), cmp.same("victim_sex", "sex"), cmp.weapon(), cmp.circumstance(), cmp.relationship(), cmp.age("offender_age", label="offender_age")), cmp.register_rules(),
-        training=((Rule("month", ("city_id", "year", "month")), ("date",)), (Rule("age and sex", ("city_id", "victim_age", "victim_sex")), ("age", "sex"))),
-        deterministic=(Rule("sure", ("city_id", "year", "month", "victim_age", "victim_sex")),), recall=0.5, predict_threshold=0.5, random_pairs=100_000, one_to_one=True,
+        training=cmp.register_training(), deterministic=cmp.register_sure(), recall=0.5, predict_threshold=0.5, one_to_one=True,
     )
     return jobs.run(job, left, right).matches.select("id_l", "id_r", F.round("match_probability", 6).alias("p"))
 
@@ -111,18 +128,13 @@ def q_link_unnamed_victims(spark: SparkSession, sf: str) -> DataFrame:
     o = o.join(shared, "unique_id", "left").withColumn("exclusion_ids", F.array_union(F.coalesce("exclusion_ids", none), F.coalesce("shared", none)))
     columns = [c for c in e.columns if c in o.columns and c != "loaded_at"]
     left, right = scratch.keep(e.select(*columns), "entities"), scratch.keep(o.select(*columns, "article_id"), "orphans")
-    apart = "not array_contains(coalesce(r.exclusion_ids, array()), l.unique_id)"
-    year = f"abs(l.midpoint_day - r.midpoint_day) <= 370 and {apart}"
     job = jobs.Job(
         "unique_id", (cmp.date(), cmp.age(), cmp.place(), cmp.same("victim_sex", "sex"), cmp.offender(), cmp.weapon(), cmp.circumstance(), cmp.relationship(), cmp.summary(), cmp.same("victim_count"), cmp.age("offender_age", label="offender_age"), cmp.same("offender_sex"), cmp.same("victim_race", "race", tf=True)),
         cmp.orphan_rules(),
-        training=((Rule("month", ("city_id", "year", "month"), apart), ("date",)), (Rule("age and sex", ("city_id", "victim_age", "victim_sex"), year), ("age", "sex")), (Rule("sex and street", ("city_id", "victim_sex", "geo_address_short"), apart), ("sex", "place")), (Rule("offender", ("city_id", "offender_age", "offender_sex"), year), ("offender_age", "offender_sex"))),
-        deterministic=(Rule("sure", ("city_id", "year", "month", "day", "victim_sex"), f"{cmp.BOX} and {apart}"),), recall=0.1, predict_threshold=0.45,
+        training=cmp.orphan_training(), deterministic=cmp.orphan_sure(), recall=0.1, predict_threshold=0.45,
     )
     pairs = jobs.run(job, left, right.drop("article_id")).pairs.join(right.select(F.col("unique_id").alias("id_r"), F.coalesce("article_id", F.lit(-1)).alias("article_id")), "id_r")
-    lowest = F.least(F.min("match_weight").over(Window.partitionBy("article_id")), F.lit(0.0))
-    weights = pairs.withColumn("w", F.col("match_weight") - lowest + 1e-12)  # all positive
-    chosen = assignment.match_groups(weights, "article_id", "id_l", "id_r", "w").drop("w", "article_id")
+    chosen = assignment.match_groups(pairs, "article_id", "id_l", "id_r", "match_weight", full=True).drop("match_weight", "article_id")
     return chosen.join(pairs, ["id_l", "id_r"]).select("id_l", "id_r", F.round("match_probability", 6).alias("p"))
 
 
