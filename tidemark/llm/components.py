@@ -26,16 +26,13 @@ def hash_to_min(edges: DataFrame, left: str = "l", right: str = "r", hot_rows: i
     l, r = F.col(f"`{left}`"), F.col(f"`{right}`")
     clean = edges.filter(l.isNotNull() & r.isNotNull() & (l != r)).select(F.least(l, r).alias("a"), F.greatest(l, r).alias("b")).distinct()
     both = F.inline(F.array(F.struct(F.col("a").alias("v"), F.col("b").alias("u")), F.struct(F.col("b").alias("v"), F.col("a").alias("u"))))
-    state, mark = scratch.keep(clean.select(both), "edges"), None
+    state = scratch.keep(clean.select(both), "edges")
     for _ in range(max_rounds):
         mins = scratch.keep(state.groupBy("v").agg(F.least(F.col("v"), F.min("u")).alias("m"), F.count("*").alias("n")), "min")
-        # Fingerprint of the state: sets only change if some row does.
-        seen = mins.agg(F.max("n"), F.sum("n"), F.sum(F.xxhash64("v", "m", "n").cast("decimal(38,0)"))).first()
-        if seen[1] is None:
+        loose = F.count_if((F.col("v") != F.col("m")) & (F.col("n") > 1))  # vertices that know more than their minimum
+        seen = mins.agg(F.max("n"), F.sum("n"), loose).first()
+        if seen[1] is None or (not seen[2] and _settled(mins)):
             break
-        if tuple(seen) == mark and _settled(state, mins):
-            break
-        mark = tuple(seen)
         if seen[0] > hot_rows:
             hot = F.broadcast(mins.filter(F.col("n") > hot_rows).select("v", "m"))  # at most rows / hot_rows
             known = state.join(hot, "v").unionByName(state.join(hot, "v", "left_anti").join(mins.filter(F.col("n") <= hot_rows).select("v", "m"), "v"))
@@ -53,11 +50,8 @@ def hash_to_min(edges: DataFrame, left: str = "l", right: str = "r", hot_rows: i
     return mins.select(F.col("v").alias("id"), F.col("m").alias("cluster_id"))
 
 
-def _settled(state: DataFrame, mins: DataFrame) -> bool:
-    """True if every vertex that is not its component's minimum knows only that minimum, and no minimum has a
-    smaller neighbour: then another round changes nothing."""
-    loose = mins.filter((F.col("v") != F.col("m")) & (F.col("n") > 1))
-    if not loose.isEmpty():
-        return False
+def _settled(mins: DataFrame) -> bool:
+    """Where every vertex but the minima knows one other only: whether that one is a minimum each time. Then each component is
+    a star (a round never parts what is linked), and another round changes nothing."""
     roots = mins.filter("v = m").select(F.col("v").alias("m"))
     return mins.filter("v != m").select("m").distinct().join(roots, "m", "left_anti").isEmpty()
