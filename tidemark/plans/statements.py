@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import clip
+from tidemark.functions import outcomes, vectors
 from tidemark.operators import aggregates as agg
-from tidemark.operators import ranking, tables
+from tidemark.operators import candidates, ranking, tables
 from tidemark.session import read_table as T
 
 QUERIES: dict = {}
@@ -183,40 +184,71 @@ def q_superseded_rows(spark: SparkSession, sf: str) -> DataFrame:
     return rows.join(first, "article_id").filter("doc_id > first").select("doc_id")
 
 
-@query("""with g as (select city_id, article_id, string_agg(unique_id, ',' order by unique_id) as members, count(*) as n from (select distinct city_id, article_id, unique_id from orphan_link_input) group by all)
-select city_id, members, n from g where n > 1""")
+@query("""with g as (select city_id, split_part(unique_id, ':', 1) as a, split_part(unique_id, ':', 2) as i, string_agg(unique_id, ',' order by unique_id) as members, count(*) as n from (select distinct city_id, unique_id from orphan_link_input) group by all)
+select city_id, a || ':' || i as incident, members, n from g""")
 def q_orphan_groups(spark: SparkSession, sf: str) -> DataFrame:
-    rows = T(spark, sf, "orphan_link_input").select("city_id", "article_id", "unique_id").distinct()
-    return rows.groupBy("city_id", "article_id").agg(agg.joined_set("unique_id").alias("members"), F.count("*").alias("n")).filter("n > 1").drop("article_id")
+    """Unnamed victims of one incident of an article, as one group."""
+    rows = T(spark, sf, "orphan_link_input").select("city_id", "unique_id").distinct()
+    incident = F.concat_ws(":", F.split_part("unique_id", F.lit(":"), F.lit(1)), F.split_part("unique_id", F.lit(":"), F.lit(2)))
+    return rows.groupBy("city_id", incident.alias("incident")).agg(agg.joined_set("unique_id").alias("members"), F.count("*").alias("n"))
+
+
+_CANDIDATES = """with e as (select unique_id, any_value(city_id) as city_id, any_value(midpoint_day) as d, any_value(victim_sex) as sx, any_value(weapon) as w, any_value(circumstance) as c, any_value(summary_vec) as v, any_value(string_split(article_ids_csv, ',')) as a from entity_link_input group by 1),
+m as (select l.unique_id as o, r.unique_id as e, coalesce(r.w, '') as anchor, round(coalesce(case when len(l.v) = 64 and len(r.v) = 64 and list_max(list_transform(l.v, lambda x: abs(x))) > 0 and list_max(list_transform(r.v, lambda x: abs(x))) > 0 then list_cosine_similarity(l.v, r.v) end, 0), 6) as cosine,
+ coalesce(cast(l.sx = r.sx as integer), 0) + coalesce(cast(l.w = r.w as integer), 0) + coalesce(cast(l.c = r.c as integer), 0) as same, abs(l.d - r.d) as gap, split_part(l.unique_id, ':', 1) as article
+ from e l join e r on l.city_id = r.city_id and abs(l.d - r.d) <= 90 and l.unique_id <> r.unique_id where not list_has_any(l.a, r.a)),
+s as (select *, round(1.2 + 0.8 * same + 1.7 * cosine - 0.01 * gap, 5) as score, case when gap <= 30 then 30 - gap end as weight from m)"""
+
+
+def _met(spark: SparkSession, sf: str) -> DataFrame:
+    """Named entities of a city within 90 days that share no article, scored. Days meet in buckets, so the band is an equality
+    join with a check."""
+    e = T(spark, sf, "entity_link_input").dropDuplicates(["unique_id"]).filter("midpoint_day is not null")
+    e = e.select(F.col("unique_id").alias("id"), "city_id", F.col("midpoint_day").alias("d"), F.col("victim_sex").alias("sx"), F.col("weapon").alias("w"), F.col("circumstance").alias("c"), F.col("summary_vec").alias("v"), F.split("article_ids_csv", ",").alias("a"))
+    l = e.select("city_id", F.struct("*").alias("l"), F.explode(F.sequence(F.floor((F.col("d") - 90) / 90), F.floor((F.col("d") + 90) / 90))).alias("b"))
+    r = e.select("city_id", F.struct("*").alias("r"), F.floor(F.col("d") / 90).alias("b"))
+    gap = F.abs(F.col("l.d") - F.col("r.d"))
+    met = l.join(r, ["city_id", "b"]).filter((gap <= 90) & (F.col("l.id") != F.col("r.id")) & ~F.coalesce(F.arrays_overlap("l.a", "r.a"), F.lit(False)))
+    whole = (F.size("l.v") == 64) & (F.size("r.v") == 64)
+    cosine = F.round(F.coalesce(F.when(whole, vectors.cosine(F.col("l.v"), F.col("r.v"))), F.lit(0.0)), 6)
+    scored = met.withColumns({"cosine": cosine, "gap": gap})
+    value = candidates.score([F.col("l.sx") == F.col("r.sx"), F.col("l.w") == F.col("r.w"), F.col("l.c") == F.col("r.c")], F.col("cosine"), F.col("gap"))
+    return scored.select(
+        F.col("l.id").alias("o"), F.col("r.id").alias("e"), F.coalesce("r.w", F.lit("")).alias("anchor"), F.round(value, 5).alias("score"), F.when(F.col("gap") <= 30, 30 - F.col("gap")).alias("weight"), F.split_part("l.id", F.lit(":"), F.lit(1)).alias("article"),
+    )
 
 
-@query("""with o as (select distinct unique_id, city_id, midpoint_day, victim_sex, weapon, circumstance from orphan_link_input), e as (select distinct unique_id, city_id, midpoint_day, victim_sex, weapon, circumstance from entity_link_input),
-p as (select o.unique_id as o, e.unique_id as e, 1.2 + 0.8 * (coalesce(cast(o.victim_sex = e.victim_sex as integer), 0) + coalesce(cast(o.weapon = e.weapon as integer), 0) + coalesce(cast(o.circumstance = e.circumstance as integer), 0)) - 0.01 * abs(o.midpoint_day - e.midpoint_day) as s
- from o join e on o.city_id = e.city_id and abs(o.midpoint_day - e.midpoint_day) <= 90),
-r as (select *, rank() over (partition by o order by round(s, 6) desc) as k from p)
-select o, e, round(s, 6) as score from r where k <= 20""")
+@query(_CANDIDATES + " select o, e, score from (select *, rank() over (partition by o order by score desc) as k from s) where k <= 20")
 def q_candidate_scores(spark: SparkSession, sf: str) -> DataFrame:
-    """Candidates for each orphan record within 90 days and a city, the twenty best with ties. Days meet in buckets, so the
-    band is an equality join with a check."""
-    cols = ["unique_id", "city_id", "midpoint_day", "victim_sex", "weapon", "circumstance"]
-    o = T(spark, sf, "orphan_link_input").select(*cols).distinct().filter("midpoint_day is not null")
-    e = T(spark, sf, "entity_link_input").select(*cols).distinct().filter("midpoint_day is not null")
-    o = o.toDF("o", "city_id", "od", "os", "ow", "oc").withColumn("b", F.explode(F.sequence(F.floor((F.col("od") - 90) / 90), F.floor((F.col("od") + 90) / 90))))
-    e = e.toDF("e", "city_id", "ed", "es", "ew", "ec").withColumn("b", F.floor(F.col("ed") / 90))
-    same = lambda a, b: F.coalesce((F.col(a) == F.col(b)).cast("int"), F.lit(0))
-    gap = F.abs(F.col("od") - F.col("ed"))
-    met = o.join(e, ["city_id", "b"]).filter(gap <= 90)
-    scored = met.select("o", "e", F.round(1.2 + 0.8 * (same("os", "es") + same("ow", "ew") + same("oc", "ec")) - 0.01 * gap, 6).alias("score"))
-    return ranking.top_with_ties(scored, 20, "score", ["o"])
-
-
-@query("""with p as (select unique_id_l as l, unique_id_r as r, match_probability as s from postadj_orphan_cluster_pairs where unique_id_l <> '999999:0:0' and match_probability is not null)
-select l, max(s) as best, min(s) as worst, count(*) as hits, round(max(s) + 0.5 * count(*), 6) as merged from p group by 1 qualify row_number() over (order by round(max(s) + 0.5 * count(*), 6) desc, l) <= 200""")
+    """The twenty best candidates of each entity, with ties."""
+    return ranking.top_with_ties(_met(spark, sf).select("o", "e", "score"), 20, "score", ["o"])
+
+
+@query(_CANDIDATES + """, g as (select article, e, anchor, max(score) as score, max(weight) as weight, arg_min(o, (-score, o)) as o, count(distinct o) as n from s group by all),
+k as (select *, rank() over (partition by article order by score desc) as a, rank() over (partition by article order by coalesce(weight, '-infinity'::double) desc) as b,
+ rank() over (partition by article, anchor order by score desc) as c, rank() over (partition by article, anchor order by coalesce(weight, '-infinity'::double) desc) as d from g)
+select article, e, anchor, score, weight, o, n as variants from k where a <= 5 or b <= 5 or c <= 3 or d <= 3""")
+def q_candidate_gate(spark: SparkSession, sf: str) -> DataFrame:
+    """Candidates merged over the entities of an article, gated by the top lists of the article and of each anchor."""
+    rows = _met(spark, sf).withColumns({"variant": F.col("o"), "record": F.col("o")}).drop("o")
+    merged = candidates.merge(rows, ["article", "e", "anchor"])
+    return candidates.gate(merged, ["article"], "anchor").select("article", "e", "anchor", "score", "weight", F.col("record").alias("o"), F.size("variants").cast("bigint").alias("variants"))
+
+
+@query("""with p as (select unique_id_l as l, unique_id_r as r, match_probability as s from postadj_orphan_cluster_pairs where match_probability is not null)
+select l, max(s) as best, min(s) as worst, round(max(s) - coalesce(max(case when k = 2 then s end), 0), 6) as gap, count(*) as hits, round(max(s) + 0.5 * count(*), 6) as merged
+from (select *, row_number() over (partition by l order by s desc) as k from p) group by 1 qualify row_number() over (order by round(max(s) + 0.5 * count(*), 6) desc, l nulls first) <= 200""")
 def q_candidate_rollup(spark: SparkSession, sf: str) -> DataFrame:
-    p = T(spark, sf, "postadj_orphan_cluster_pairs").filter("unique_id_l != '999999:0:0' and match_probability is not null")
+    """The 200 records with the most and best pairs, each with its best, worst and second-best score. The two best come from an
+    aggregate over pre-ranked values, so a record with a tenth of all pairs is no single task."""
+    p = T(spark, sf, "postadj_orphan_cluster_pairs").filter("match_probability is not null")
     s = F.col("match_probability")
-    per = p.groupBy(F.col("unique_id_l").alias("l")).agg(F.max(s).alias("best"), F.min(s).alias("worst"), F.count("*").alias("hits"), F.round(F.max(s) + 0.5 * F.count("*"), 6).alias("merged"))
-    return per.orderBy(F.desc("merged"), "l").limit(200)
+    values = p.groupBy(F.col("unique_id_l").alias("l"), s.alias("s")).agg(F.count("*").alias("c"))  # combines repeated scores first
+    per = values.groupBy("l").agg(F.max("s").alias("best"), F.min("s").alias("worst"), F.sum("c").alias("hits"), F.max_by("c", "s").alias("top"))
+    second = values.join(per.select("l", "best"), ["l"]).filter("s < best").groupBy("l").agg(F.max("s").alias("second"))
+    per = per.join(second, "l", "left").withColumn("runner", F.when(F.col("top") > 1, F.col("best")).otherwise(F.coalesce("second", F.lit(0.0))))
+    merged = per.select("l", "best", "worst", F.round(F.col("best") - F.col("runner"), 6).alias("gap"), "hits", F.round(F.col("best") + 0.5 * F.col("hits"), 6).alias("merged"))
+    return merged.orderBy(F.desc("merged"), F.asc_nulls_first("l")).limit(200)
 
 
 @query("""select count(*) as rows, count(distinct unique_id) as ids, count_if(lat is null or lon is null) as unplaced, (select count(*) from entity_link_input) as entities, (select count(*) from shr) as register from orphan_link_input""")
@@ -231,3 +263,119 @@ def q_running_sums(spark: SparkSession, sf: str) -> DataFrame:
     per = T(spark, sf, "embeddings").groupBy("label", F.floor(F.col("embedding")[0] * 4).alias("x")).agg(F.count("*").alias("n"))
     w = Window.partitionBy("label")
     return per.withColumns({"running": F.sum("n").over(w.orderBy("x")), "r": F.rank().over(w.orderBy(F.desc("n")))})
+
+
+_OUTCOMES = "(select doc_id as id, ['none', 'before', 'outside', 'inside', 'failed'][cast(doc_id % 5 as integer) + 1] as outcome, [null, 'vehicular', 'fictional', 'military', 'murder'][cast(doc_id // 5 % 5 as integer) + 1] as kind, nullif(doc_id % 4, 3) as incidents, 1970 + doc_id % 20 as year from documents)"
+
+
+@query(f"""select id, case when outcome = 'none' then 'N_NOHOM' when outcome = 'before' then 'E' when outcome = 'outside' then 'O' when outcome = 'inside' and kind = 'vehicular' then 'N_VEH' when outcome = 'inside' and kind = 'fictional' then 'N_FIC'
+when outcome = 'inside' and kind = 'military' then 'N_MIL' when outcome = 'inside' and kind is null then 'ERR_M_NONE' when outcome = 'inside' then 'M_PRELIM' else 'ERR_OTHER' end as code,
+case when coalesce(incidents, 0) = 0 then 'N_NOINC' when year >= 1977 then 'M' else 'E' end as extracted from {_OUTCOMES}""")
+def q_outcome_codes(spark: SparkSession, sf: str) -> DataFrame:
+    """The codes of a classifier's answers, and of the years of the incidents it extracted."""
+    d = T(spark, sf, "documents").select(F.col("doc_id").alias("id"))
+    pick = lambda values, i: F.get(F.array(*[F.lit(v).cast("string") for v in values]), i.cast("int"))
+    outcome, kind = pick(("none", "before", "outside", "inside", "failed"), F.col("id") % 5), pick((None, "vehicular", "fictional", "military", "murder"), F.floor(F.col("id") / 5) % 5)
+    n = F.coalesce(F.nullif(F.col("id") % 4, F.lit(3)), F.lit(0)).cast("int")
+    years = F.when(n > 0, F.array_repeat((1970 + F.col("id") % 20).cast("int"), n)).otherwise(F.array().cast("array<int>"))
+    return d.select("id", outcomes.answer_code(outcome, kind).alias("code"), outcomes.extract_code(years, 1977).alias("extracted"))
+
+
+_TOPICS = f"(select s, id, s % 4 as human, nullif((s + id) % 5, 0) as manual, case when (s + id) % 3 = 0 then 'x' || s end as extract from (select distinct s, id from {_LINKS}))"
+
+
+def topics(spark: SparkSession, sf: str) -> DataFrame:
+    """Register rows in articles with the marks and extracts they got."""
+    s, i = F.col("s"), F.col("id")
+    return links(spark, sf).distinct().select("s", "id", (s % 4).alias("human"), F.nullif((s + i) % 5, F.lit(0)).alias("manual"), F.when((s + i) % 3 == 0, F.concat(F.lit("x"), s.cast("string"))).alias("extract"))
+
+
+@query("select type_id, count(*) as n from (select doc_id as id, length(title) % 23 as type_id from documents union select doc_id, length(source) % 23 from documents) where id in (select doc_id from documents where publication is not null) group by 1")
+def q_retrieve_types(spark: SparkSession, sf: str) -> DataFrame:
+    """The types of the articles of a publication."""
+    mine = articles(spark, sf).filter("publication is not null").select("id").distinct()
+    return types(spark, sf).join(mine, "id", "left_semi").groupBy("type_id").agg(F.count("*").alias("n"))
+
+
+@query(f"select j.id, t.s, coalesce(t.extract, '') as extract, good_types from ({_JOINED}) j join {_TOPICS} t on t.id = j.id join (select distinct \"index\" as i from shr) r on r.i = t.s where t.s = 17")
+def q_articles_from_homicide(spark: SparkSession, sf: str) -> DataFrame:
+    """The articles assigned to one register row, with what each says of it."""
+    t = topics(spark, sf).filter("s = 17").join(T(spark, sf, "shr").select(F.col("index").alias("s")).distinct(), "s", "left_semi")
+    return with_types(spark, sf).join(t, "id").select("id", "s", F.coalesce("extract", F.lit("")).alias("extract"), "good_types")
+
+
+@query(f"select j.id, t.s, t.extract, binary_types from ({_JOINED}) j join {_TOPICS} t on t.id = j.id where t.s = 17 and t.id = (select min(id) from {_TOPICS} where s = 17)")
+def q_article_with_extracts(spark: SparkSession, sf: str) -> DataFrame:
+    """One article with the extract about one register row."""
+    t = topics(spark, sf).filter("s = 17")
+    first = t.agg(F.min("id").alias("id"))  # one row
+    return with_types(spark, sf).join(t.join(F.broadcast(first), "id", "left_semi"), "id").select("id", "s", "extract", "binary_types")
+
+
+@query(f"""select s.i as s, row_number() over (order by s.agency, s.n, s.i) as k, coalesce(t.manual, 0) as manual, coalesce(t.human, 0) as human, coalesce(t.extract, '') as extract
+from (select "index" as i, any_value(coalesce(Agency, '')) as agency, any_value(Incident) as n from shr group by 1) s join {_TOPICS} t on t.s = s.i where t.id = (select min(id) from {_TOPICS})""")
+def q_homicides_of_article(spark: SparkSession, sf: str) -> DataFrame:
+    """The register rows assigned to one article, numbered, with their marks and extracts."""
+    t = topics(spark, sf)
+    mine = t.join(F.broadcast(t.agg(F.min("id").alias("id"))), "id", "left_semi")
+    s = T(spark, sf, "shr").dropDuplicates(["index"]).select(F.col("index").alias("s"), F.coalesce("Agency", F.lit("")).alias("agency"), F.col("Incident").alias("i"))
+    rows = ranking.numbered(s.join(mine, "s"), ["agency", "i", "s"], "k")
+    return rows.select("s", "k", F.coalesce("manual", F.lit(0)).alias("manual"), F.coalesce("human", F.lit(0)).alias("human"), F.coalesce("extract", F.lit("")).alias("extract"))
+
+
+@query(f"select s, id, case when s % 10 = 3 then 3 else human end as human, manual from {_TOPICS}")
+def q_mark_and_log(spark: SparkSession, sf: str) -> DataFrame:
+    """A mark set for some victims; the attempts themselves go to a log (see q_attempts)."""
+    return _marked(spark, sf)[0].select("s", "id", "human", "manual")
+
+
+@query(f"select s, id, 3 as human, manual, 'p' || s as prompt from {_TOPICS} where s % 10 = 3")
+def q_attempts(spark: SparkSession, sf: str) -> DataFrame:
+    return _marked(spark, sf)[1]
+
+
+def _marked(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    t = topics(spark, sf)
+    tried = t.filter("s % 10 = 3").select("s", "id", F.lit(3).alias("human"), "manual", F.concat(F.lit("p"), F.col("s").cast("string")).alias("prompt"))
+    log = spark.createDataFrame([], tried.schema)
+    return tables.update_where(t, tried.select("s", "id"), ["s", "id"], {"human": F.lit(3)}), tables.append(log, tried)
+
+
+@query("select id, cast(row_number() over (order by id) + 100 as bigint) as result_id, prompt, tokens from (select doc_id as id, 'classify' as prompt, n_tokens as tokens from documents where auto_class = 'M' and n_tokens is not null)")
+def q_append_results(spark: SparkSession, sf: str) -> DataFrame:
+    """Results appended to a table that numbers them itself, after the 100 it holds."""
+    new = T(spark, sf, "documents").filter("auto_class = 'M' and n_tokens is not null").select(F.col("doc_id").alias("id"), F.lit("classify").alias("prompt"), F.col("n_tokens").alias("tokens"))
+    return ranking.numbered(new, ["id"], "n").select("id", (F.col("n") + 100).alias("result_id"), "prompt", "tokens")
+
+
+_QUEUED = "(select *, case doc_id % 4 when 0 then 'ERR_M_NONE' when 1 then 'M_PRELIM' when 2 then 'O' end as answer from documents)"
+
+
+def _queued(spark: SparkSession, sf: str) -> DataFrame:
+    k = F.col("doc_id") % 4
+    return T(spark, sf, "documents").withColumn("answer", F.when(k == 0, "ERR_M_NONE").when(k == 1, "M_PRELIM").when(k == 2, "O"))
+
+
+@query(f"select doc_id, pub_date from {_QUEUED} where auto_class = 'M' and (answer is null or answer = 'ERR_M_NONE') order by pub_date nulls first, doc_id limit 50")
+def q_articles_to_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """The next fifty articles to classify: never tried, or tried without an answer."""
+    rows = _queued(spark, sf).filter("auto_class = 'M' and (answer is null or answer = 'ERR_M_NONE')")
+    return rows.select("doc_id", "pub_date").orderBy(F.asc_nulls_first("pub_date"), "doc_id").limit(50)
+
+
+@query(f"select doc_id, pub_date from {_QUEUED} where auto_class = 'M' and answer is not distinct from 'M_PRELIM' order by pub_date nulls first, doc_id limit 50")
+def q_articles_to_extract(spark: SparkSession, sf: str) -> DataFrame:
+    """The next fifty articles to extract from: those whose first answer was yes."""
+    rows = _queued(spark, sf).filter((F.col("auto_class") == "M") & F.col("answer").eqNullSafe("M_PRELIM"))
+    return rows.select("doc_id", "pub_date").orderBy(F.asc_nulls_first("pub_date"), "doc_id").limit(50)
+
+
+@query("""select substr(pub_date, 1, 4) as year, count(distinct pub_date) as dates from documents d where regexp_matches(pub_date, '^\\d{8}$') and exists (select 1 from documents a where a.pub_date = d.pub_date and a.auto_class = 'M')
+and not exists (select 1 from documents a where a.pub_date = d.pub_date and a.auto_class is null) group by 1""")
+def q_dates_ready(spark: SparkSession, sf: str) -> DataFrame:
+    """Dates with an article of the queue and none that is still open, by year."""
+    d = T(spark, sf, "documents").select("pub_date", "auto_class")
+    ready = d.filter("auto_class = 'M'").select("pub_date").distinct()
+    open_ = d.filter("auto_class is null").select("pub_date").distinct()
+    dates = d.filter(F.col("pub_date").rlike(r"^\d{8}$")).select("pub_date").distinct().join(ready, "pub_date", "left_semi").join(open_, "pub_date", "left_anti")
+    return dates.groupBy(F.substring("pub_date", 1, 4).alias("year")).agg(F.count("*").alias("dates"))
