@@ -86,3 +86,20 @@ def merge_links(machine: DataFrame, applied: DataFrame) -> DataFrame:
     own = machine.select("orphan_id", "entity_id", F.lit("machine").alias("origin"))
     more = applied.filter("status = 'applied'").join(own.select("orphan_id"), "orphan_id", "left_anti")
     return own.unionByName(more.select("orphan_id", "entity_id", F.lit("manual").alias("origin")))
+
+
+def member_union(named: DataFrame, matched: DataFrame, clusters: DataFrame, single: DataFrame) -> DataFrame:
+    """(entity_id, member_id, origin): the rows that make up each final entity. ``named`` and ``matched`` are (entity_id,
+    member_id); ``clusters`` (cluster_id, member_id) become entities under their smallest member where they have two members or
+    more; ``single`` (member_id) are entities of their own. A member named twice under one entity counts once."""
+    sizes = clusters.groupBy("cluster_id").agg(F.min("member_id").alias("entity_id"), F.count_distinct("member_id").alias("_n")).filter("_n >= 2")
+    parts = [
+        named.select("entity_id", "member_id", F.lit("named").alias("origin")),
+        matched.select("entity_id", "member_id", F.lit("matched").alias("origin")),
+        clusters.join(sizes, "cluster_id").select("entity_id", "member_id", F.lit("cluster").alias("origin")),
+        single.select(F.col("member_id").alias("entity_id"), "member_id", F.lit("single").alias("origin")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.groupBy("entity_id", "member_id").agg(F.min("origin").alias("origin"))

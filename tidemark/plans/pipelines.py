@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import categories, dates
 from tidemark.functions.names import name_parts
 from tidemark.operators import aggregates as agg
-from tidemark.operators import assignment, clustering, comparisons as cmp, jobs, validation
+from tidemark.operators import assignment, canonical, clustering, comparisons as cmp, jobs, tables, validation
 from tidemark.operators.blocking import Rule
 from tidemark.operators.linkage import Training
 from tidemark.session import Scratch
@@ -152,6 +152,36 @@ def q_leftover_clusters(spark: SparkSession, sf: str) -> DataFrame:
     return absorbed.unionByName(single)
 
 
+@query("""with recursive e as (select unique_id, min(city_id) as c, min(midpoint_day) as d from entity_link_input group by 1), o as (select unique_id, min(city_id) as c, min(midpoint_day) as d from orphan_link_input group by 1),
+m as (select o.unique_id as member_id, min(e.unique_id) as entity_id from o join e on o.c = e.c and o.d = e.d group by 1),
+p as (select unique_id_l as a, unique_id_r as b from postadj_orphan_cluster_pairs where match_probability >= 0.8 and unique_id_l <> unique_id_r and unique_id_l not in (select member_id from m) and unique_id_r not in (select member_id from m)),
+g as (select a, b from p union select b, a from p), w as (select a as id, a as s from g union select w.id, g.b from w join g on w.s = g.a), k as (select id, min(s) as entity_id from w group by 1)
+select unique_id as entity_id, unique_id as member_id, 'named' as origin from e union all select entity_id, member_id, 'matched' from m union all select entity_id, id, 'cluster' from k
+union all select unique_id, unique_id, 'single' from o where unique_id not in (select member_id from m) and unique_id not in (select id from k)""")
+def q_entity_members(spark: SparkSession, sf: str) -> DataFrame:
+    """The members of every final entity by origin: named rows, unnamed victims matched to an entity (here: same city and day),
+    clusters of what is left, and what stays single."""
+    first = lambda t: T(spark, sf, t).groupBy("unique_id").agg(F.min("city_id").alias("c"), F.min("midpoint_day").alias("d"))
+    e, o = first("entity_link_input"), first("orphan_link_input")
+    matched = Scratch(spark).keep(o.withColumnRenamed("unique_id", "member_id").join(e, ["c", "d"]).groupBy("member_id").agg(F.min("unique_id").alias("entity_id")), "matched")
+    p = T(spark, sf, "postadj_orphan_cluster_pairs").filter("match_probability >= 0.8")
+    for side in ("unique_id_l", "unique_id_r"):
+        p = p.join(matched.select(F.col("member_id").alias(side)), side, "left_anti")
+    clusters = clustering.connected_components(p, "unique_id_l", "unique_id_r").select(F.col("component").alias("cluster_id"), F.col("id").alias("member_id"))
+    left = o.select(F.col("unique_id").alias("member_id")).join(matched, "member_id", "left_anti").join(clusters, "member_id", "left_anti")
+    return canonical.member_union(e.select(F.col("unique_id").alias("entity_id"), F.col("unique_id").alias("member_id")), matched, clusters, left)
+
+
+@query("""with g as (select addr_key, any_value(matched_address) as a, any_value(nullif(y_lat, 0)) as lat, any_value(nullif(x_lon, 0)) as lon from (select distinct input_address as addr_key, matched_address, y_lat, x_lon from mar_cache) group by 1)
+select addr_id, m.addr_key, g.a as geo_address_norm, g.lat, g.lon from mar_addr_map m left join g using (addr_key)""")
+def q_push_geocodes(spark: SparkSession, sf: str) -> DataFrame:
+    """What the geocoder found, pushed to the rows that asked; a coordinate of zero is none."""
+    rows = T(spark, sf, "mar_addr_map").select("addr_id", "addr_key").withColumns({"geo_address_norm": F.lit(None).cast("string"), "lat": F.lit(None).cast("double"), "lon": F.lit(None).cast("double")})
+    none = F.lit(0.0)
+    found = T(spark, sf, "mar_cache").dropDuplicates(["input_address"]).select(F.col("input_address").alias("addr_key"), F.col("matched_address").alias("geo_address_norm"), F.nullif(F.col("y_lat"), none).alias("lat"), F.nullif(F.col("x_lon"), none).alias("lon"))
+    return tables.update_from(rows, found, ["addr_key"], ["geo_address_norm", "lat", "lon"])
+
+
 @query("""with e as (select distinct unique_id, trim(x) as a from entity_link_input, unnest(string_split(article_ids_csv, ',')) u(x)), o as (select distinct unique_id, trim(x) as a from orphan_link_input, unnest(string_split(article_ids_csv, ',')) u(x))
 select o.unique_id, string_agg(distinct e.unique_id, ',' order by e.unique_id) as exclusion_ids from o join e on cast(o.a as bigint) % 500000 = cast(e.a as bigint) % 500000 group by 1""")
 def q_same_article_exclusions(spark: SparkSession, sf: str) -> DataFrame:

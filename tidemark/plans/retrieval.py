@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import queues, regression, search
+from tidemark.session import Scratch
 from tidemark.session import read_table as T
 from tidemark.sources import lookups
 from tidemark.streaming.refresh import windowed_counts
@@ -49,10 +50,39 @@ def q_anchor_doc_freq(spark: SparkSession, sf: str) -> DataFrame:
     return search.anchor_frequencies(T(spark, sf, "documents"), "text", {"court": ["Judge", "jury", "the"], "city": ["Fenminster", "Gloudown"]})
 
 
-@query(r"""with t as (select doc_id, unnest(list_filter(regexp_split_to_array(lower(title), '[^\p{L}\p{N}]+'), lambda x: x <> '')) as term from documents)
+@query(r"""with t as (select doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '')) as term from documents)
 select term, count(distinct doc_id) as df, count(*) as tf from t group by 1""")
 def q_postings(spark: SparkSession, sf: str) -> DataFrame:
-    return search.postings(T(spark, sf, "documents"), "doc_id", "title").groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("tf"))
+    return search.postings(T(spark, sf, "documents"), "doc_id", "text").groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("tf"))
+
+
+@query(_TOKENS + f"select doc_id, round({_ONE.format(df='da', tf='a')} + {_ONE.format(df='db', tf='b')}, 6) as score from d, s where a > 0 or b > 0")
+def q_bm25_postings(spark: SparkSession, sf: str) -> DataFrame:
+    """The same ranking from a stored index: only the postings of the query's terms are read."""
+    index = Scratch(spark).keep(search.postings(T(spark, sf, "documents"), "doc_id", "text"), "postings")
+    lengths = T(spark, sf, "documents").select(F.greatest(F.size(search.token_array(F.col("text"))), F.lit(0)).alias("n")).agg(F.count("*"), F.avg("n")).first()
+    return search.bm25_postings(index, "doc_id", ["judge", "verdict"], *lengths).select("doc_id", F.round("score", 6).alias("score"))
+
+
+@query(r"""with t as (select doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') as t from documents),
+d as (select doc_id, len(t) as len, ' ' || array_to_string(t, '  ') || ' ' as f from t),
+c as (select doc_id, coalesce(len, 0) as len, coalesce((length(f) - length(replace(f, ' parish  hall ', ''))) // 14, 0) as a, coalesce((length(f) - length(replace(f, ' street  lighting ', ''))) // 18, 0) as b from d),
+s as (select count(*) as n, avg(len) as avg, count_if(a > 0) as da, count_if(b > 0) as db from c)
+select doc_id, round(""" + f"{_ONE.format(df='da', tf='a')} + {_ONE.format(df='db', tf='b')}" + ", 6) as score from c, s where a > 0 or b > 0")
+def q_bm25_phrases(spark: SparkSession, sf: str) -> DataFrame:
+    out = search.bm25_phrases(T(spark, sf, "documents"), "doc_id", "text", ["parish hall", "street lighting"])
+    return out.select("doc_id", F.round("score", 6).alias("score"))
+
+
+@query(r"""with n as (select doc_id, case when doc_id % 10 = 0 then coalesce(title, '') || ' revised' else title end as x from documents where doc_id % 17 <> 0),
+t as (select doc_id, unnest(list_filter(regexp_split_to_array(lower(x), '[^\p{L}\p{N}]+'), lambda x: x <> '')) as term from n)
+select doc_id, term, count(*) as tf from t group by all""")
+def q_postings_refreshed(spark: SparkSession, sf: str) -> DataFrame:
+    """An index of titles after some changed and some documents went."""
+    d = T(spark, sf, "documents").select("doc_id", "title")
+    changed = d.filter("doc_id % 10 = 0 and doc_id % 17 != 0").withColumn("title", F.concat(F.coalesce("title", F.lit("")), F.lit(" revised")))
+    index = Scratch(spark).keep(search.postings(d, "doc_id", "title"), "postings")
+    return search.refresh_postings(index, changed, d.filter("doc_id % 17 = 0"), "doc_id", "title").select("doc_id", "term", "tf")
 
 
 @query("""select doc_id, case when h then ['jury'] when k then ['judge'] else ['judge', 'jury'] end as variants from

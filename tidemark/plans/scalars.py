@@ -201,13 +201,16 @@ def q_json_fields_and_hashes(spark: SparkSession, sf: str) -> DataFrame:
     return T(spark, sf, "events").select("event_id", F.get_json_object("props", "$.k").cast("bigint").alias("k"), F.sha2("props", 256).alias("h"), F.md5("props").alias("m"))
 
 
-@query()
+@query("""with o as (select article_id, unique_id, any_value(victim_age) as a, any_value(victim_sex) as s, any_value(relationship) as r from orphan_link_input group by all),
+n as (select *, row_number() over (partition by article_id order by unique_id) - 1 as i from o where article_id % 50 <> 0)
+select article_id || ':' || i || ':0' as victim_row_id, cast(a as integer) as victim_age, s as victim_sex, r as relationship from n""")
 def q_incident_staging(spark: SparkSession, sf: str) -> DataFrame:
-    """Nested JSON built from orphan records, exploded back to victims (malformed JSON is an empty list)."""
+    """Nested JSON built from orphan records, in the order of their ids, exploded back to victims (malformed JSON is an empty list)."""
     o = T(spark, sf, "orphan_link_input").dropDuplicates(["unique_id"])
     victim = F.struct(F.lit(None).cast("string").alias("victim_name"), F.col("victim_age").cast("string").alias("victim_age"), "victim_sex", "victim_race", "relationship")
     incident = F.struct(F.col("year").cast("string").alias("year"), "weapon", F.array(victim).alias("victim"))
-    js = o.groupBy("article_id").agg(F.to_json(F.collect_list(incident)).alias("js"))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("unique_id", incident.alias("i")))), lambda x: x["i"])
+    js = o.groupBy("article_id").agg(F.to_json(ordered).alias("js"))
     broken = js.withColumn("js", F.when(F.col("article_id") % 50 == 0, "[{").otherwise(F.col("js")))
     _, victims = explode_incidents(broken, "article_id", "js")
     return victims.select("victim_row_id", values.to_int(F.col("victim_age")).alias("victim_age"), "victim_sex", "relationship")
