@@ -3,7 +3,7 @@ import random
 import pandas as pd
 import pytest
 
-from tidemark.llm.leakage import Automaton, Limits, Screen, find_leaks, leaks, longest_chain, without_leaks, words, words_at
+from tidemark.llm.leakage import Automaton, Limits, Screen, find_leaks, leaks, leaks_of, longest_chain, without_leaks, words, words_at
 
 RNG = random.Random(0)
 VOCAB = [f"w{i}" for i in range(400)]
@@ -34,14 +34,42 @@ def test_longest_matches_against_brute_force():
     holds = lambda run: {i for i, v in ITEMS.items() if f" {' '.join(run)} " in f" {v} "}
     for e, (s, n) in enumerate(got, 1):
         if n >= 3:
-            assert a.items(s) == holds(text[e - n : e])
-    # Every item with a match of three words or more is sighted with its longest one.
-    best = {}
-    for _, n, items in a.sightings(ids, 3):
-        for i in items:
-            best[i] = max(best.get(i, 0), n)
-    want = {i: max((n for e in range(1, len(text) + 1) for n in range(3, longest[e] + 1) if i in holds(text[e - n : e])), default=0) for i in ITEMS}
-    assert best == {i: n for i, n in want.items() if n}
+            assert {i for i, _ in a.occurrences(s)} == holds(text[e - n : e])
+    # Every run that text and item share and that cannot be made longer, by diagonals.
+    want = set()
+    for item, v in ITEMS.items():
+        t = v.split()
+        for d in range(-len(text), len(t)):
+            n = 0
+            for j in range(len(text) + 1):
+                if j < len(text) and 0 <= j + d < len(t) and t[j + d] == text[j]:
+                    n += 1
+                    continue
+                if n >= 3:
+                    want.add((item, j + d - n, j - n, n))
+                n = 0
+    runs = list(a.runs(ids, 3))
+    assert set(runs) == want and len(runs) == len(want)
+
+
+def test_leaks_of_texts_full_of_repeats_against_brute_force():
+    """Few different words, so that many runs lie over one another: the same leaks as chaining every common run."""
+    rng, lim = random.Random(11), Limits(span=12, share=0.6)
+    found = 0
+    for _ in range(60):
+        vocab = [f"v{i}" for i in range(rng.choice([4, 8, 30]))]
+        passage = [rng.choice(vocab) for _ in range(rng.randrange(15, 50))]
+        k = rng.randrange(len(passage) - 5)
+        text = [rng.choice(vocab) for _ in range(rng.randrange(60))] + passage[k : k + rng.randrange(4, 30)] + [rng.choice(vocab) for _ in range(rng.randrange(60))]
+        a = Automaton()
+        a.add(1, passage)
+        a.finish()
+        parts = [(i, j, n) for i in range(len(passage)) for j in range(len(text)) if not (i and j and passage[i - 1] == text[j - 1]) for n in [next((x for x in range(min(len(passage) - i, len(text) - j)) if passage[i + x] != text[j + x]), min(len(passage) - i, len(text) - j))] if n >= 3]
+        best = longest_chain(parts, lim)
+        got = list(leaks_of([a.vocabulary.get(w, -1) for w in text], a, lim))
+        assert [x[1:3] for x in got] == ([best[:2]] if best[0] >= 12 else [])
+        found += bool(got)
+    assert 10 < found < 60
 
 
 def test_nested_and_overlapping_items(spark):
@@ -62,11 +90,11 @@ def test_chains_take_time_in_proportion():
     """Twice the text takes about twice the steps: chains out of the window are dropped."""
     import time
 
-    passage, took = list(range(60)), []
+    took = []
     for n in (20_000, 40_000, 80_000):
-        text = [w for k in range(n // 6) for w in (*passage[(k * 7) % 50 : (k * 7) % 50 + 4], -1, -1)]
+        parts = [((k * 7) % 50, 6 * k, 4) for k in range(n // 6)]
         began = time.process_time()
-        longest_chain(passage, text, Limits())
+        longest_chain(parts, Limits())
         took.append(time.process_time() - began)
     assert took[2] < took[0] * 4 * 2 + 0.2
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 from itertools import chain, repeat
@@ -45,8 +45,8 @@ class Automaton:
     children: list[list[int]] = field(default_factory=list)
     count: list[int] = field(default_factory=list)
     bigrams: np.ndarray | None = None
-    known: dict[int, set[int]] = field(default_factory=dict)
-    placed: dict[tuple, dict] = field(default_factory=dict)
+    known: dict[int, set[tuple[int, int]]] = field(default_factory=dict)
+    earlier: dict[int, set[tuple[int, int]]] = field(default_factory=dict)
 
     def add(self, item: int, text: list[str]) -> None:
         ids = [self.vocabulary.setdefault(w, len(self.vocabulary)) for w in text]
@@ -97,23 +97,22 @@ class Automaton:
         self.bigrams = np.array(sorted(codes), np.int64)
         return self
 
-    def items(self, state: int) -> set[int]:
-        """The items that hold the words of a state; kept once asked for, as stock phrases are asked for often."""
-        if state in self.known:
-            return self.known[state]
-        out, stack = set(), [state]
-        while stack:
-            s = stack.pop()
-            out.update(i for i, _ in self.ends[s])
-            stack += self.children[s]
-        self.known[state] = out
-        return out
-
-    def grams(self, item: int, k: int) -> dict[tuple[int, ...], list[int]]:
-        """``runs_of`` an item's words; kept once asked for."""
-        if (item, k) not in self.placed:
-            self.placed[item, k] = runs_of(self.texts[item], k)
-        return self.placed[item, k]
+    def occurrences(self, state: int) -> set[tuple[int, int]]:
+        """(item, end) wherever the words of a state stand; kept once asked for, as stock phrases are asked for often."""
+        if state not in self.known:
+            out, stack = set(), [state]
+            while stack:
+                s = stack.pop()
+                out.update(self.ends[s])
+                stack += self.children[s]
+            self.known[state] = out
+        return self.known[state]
+
+    def one_before(self, state: int) -> set[tuple[int, int]]:
+        """The occurrences of a state without its last word."""
+        if state not in self.earlier:
+            self.earlier[state] = {(i, e - 1) for i, e in self.occurrences(state)}
+        return self.earlier[state]
 
     def walk(self, ids: list[int]):
         """(state, length) of the longest match that ends with each word."""
@@ -130,20 +129,25 @@ class Automaton:
             s, n = self.follow[s][c], n + 1
             yield s, n
 
-    def sightings(self, ids: list[int], least: int):
-        """(end, words, items): matches of ``least`` words or more that go no farther in some items that hold them. A match
-        and its shorter ends are looked at wherever the next word leaves occurrences behind, so an item that ends in, or
-        is contained in, a stretch that another item continues is seen too."""
+    def runs(self, ids: list[int], least: int):
+        """(item, passage start, text start, words) of every run of ``least`` words or more that text and item have in common and
+        that cannot be made longer on either side, in order of its end in the text.
+
+        A match and its shorter ends are looked at wherever the next word leaves occurrences behind; an occurrence is left
+        behind once, with the longest match that holds it. So an item that ends in, or is contained in, a stretch that
+        another item continues is seen too."""
         before, had = 0, 0
         for at, (c, (s, n)) in enumerate(zip(chain(ids, [-1]), chain(self.walk(ids), [(0, 0)]))):
             u, words_, told = before, had, set()
             while u > 0 and words_ >= least:
                 after = self.follow[u].get(c)
                 if after is None or self.count[after] < self.count[u]:
-                    gone = self.items(u) - told if after is None else self.items(u) - self.items(after) - told
-                    if gone:
-                        told |= gone
-                        yield at, words_, gone
+                    gone = self.occurrences(u) - told
+                    if after is not None:
+                        gone -= self.one_before(after)
+                    for item, end in gone:
+                        yield item, end - words_, at - words_, words_
+                    told |= gone
                 u = self.link[u]
                 words_ = self.length[u]
             before, had = s, n
@@ -164,34 +168,14 @@ class Limits:
     coverage: float = 0.5
 
 
-def runs_of(passage: list[int], k: int) -> dict[tuple[int, ...], list[int]]:
-    """Where each run of k words stands."""
-    out: dict[tuple[int, ...], list[int]] = {}
-    for i in range(len(passage) - k + 1):
-        out.setdefault(tuple(passage[i : i + k]), []).append(i)
-    return out
-
-
-def longest_chain(passage: list[int], text: list[int], lim: Limits, grams: Mapping | None = None) -> tuple[int, int, int, int]:
-    """(passage words spanned, of them literal, first and last text position) of the longest chain of common runs
-    that advance in both with small gaps."""
-    k, grams = lim.seed, grams if grams is not None else runs_of(passage, lim.seed)
-    open_: dict[int, list[int]] = {}  # diagonal -> [passage start, text start, length]
-    parts = []
-    for j in range(len(text) - k + 1):
-        for i in grams.get(tuple(text[j : j + k]), ()):
-            last = open_.get(i - j)
-            if last and last[1] + last[2] - k + 1 == j:
-                last[2] += 1
-            else:
-                open_[i - j] = part = [i, j, k]
-                parts.append(part)
-    parts.sort(key=lambda p: (p[1], p[0]))
+def longest_chain(parts: list[tuple[int, int, int]], lim: Limits) -> tuple[int, int, int, int]:
+    """(passage words spanned, of them literal, first and end text position) of the longest chain of common runs (passage start,
+    text start, words) that advance in both with small gaps."""
     best = (0, 0, 0, 0)
     # Chains that can still go on: passage start, end, text start, end, literal. Parts come in order of the text, so a
     # chain that ends before the window is done with; the work is the parts times what one window holds.
     chains: list[tuple[int, int, int, int, int]] = []
-    for i, j, n in parts:
+    for i, j, n in sorted(parts, key=lambda p: (p[1], p[0])):
         top = (i, i + n, j, j + n, n)
         chains = [x for x in chains if x[3] >= j - lim.foreign - lim.changed]
         for a, b, c, d, m in reversed(chains):
@@ -232,26 +216,38 @@ class Screen:
 def leaks_of(ids: list[int], auto: Automaton, lim: Limits):
     """(item, span, literal, first word, end word) of one text given as word numbers."""
     need = lim.share * lim.span
-    # Stretches of the text in which an item's matches are near enough to be one chain: [first, end, matched words].
+    # Stretches of the text in which an item's runs are near enough to be one chain: [first, end, runs]. Runs come by
+    # their ends, so one that begins early joins the stretches it reaches back over.
     seen: dict = {}
-    for end, size, items in auto.sightings(ids, lim.seed):
-        for item in items:
-            near = seen.setdefault(item, [])
-            if near and end - size - near[-1][1] <= lim.foreign:
-                last = near[-1]
-                last[0], last[1], last[2] = min(last[0], end - size), end, last[2] + size
-            else:
-                near.append([end - size, end, size])
+    for item, i, j, n in auto.runs(ids, lim.seed):
+        near = seen.setdefault(item, [])
+        first, end, parts = j, j + n, [(i, j, n)]
+        while near and first - near[-1][1] <= lim.foreign:
+            a, b, more = near.pop()
+            first, end = min(first, a), max(end, b)
+            more += parts
+            parts = more
+        near.append((first, end, parts))
     for item, near in seen.items():
         best = (0, 0, 0, 0)
-        for first, end, total in near:
-            if total >= need:
-                span, literal, a, b = longest_chain(auto.texts[item], ids[first:end], lim, auto.grams(item, lim.seed))
-                best = max(best, (span, literal, -(first + a), first + b))
+        for first, end, parts in near:
+            # A chain's literal words are disjoint in the text, so they are no more than its runs are long or cover.
+            if end - first >= need and sum(n for *_, n in parts) >= need and _covered(parts) >= need:
+                span, literal, a, b = longest_chain(parts, lim)
+                best = max(best, (span, literal, -a, b))
         if best[0] >= lim.span:
             yield item, best[0], best[1], -best[2], best[3]
 
 
+def _covered(parts: list[tuple[int, int, int]]) -> int:
+    """How many text words the runs cover together."""
+    total, reach = 0, -1
+    for _, j, n in sorted(parts, key=lambda p: p[1]):
+        total += max(0, j + n - max(j, reach))
+        reach = max(reach, j + n)
+    return total
+
+
 _FOUND = ["id", "item", "span", "literal", "first_word", "last_word"]
 
 
