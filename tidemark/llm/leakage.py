@@ -44,7 +44,6 @@ class Automaton:
     ends: list[list[tuple[int, int]]] = field(default_factory=lambda: [[]])
     children: list[list[int]] = field(default_factory=list)
     count: list[int] = field(default_factory=list)
-    bigrams: np.ndarray | None = None
     known: dict[int, set[tuple[int, int]]] = field(default_factory=dict)
     earlier: dict[int, set[tuple[int, int]]] = field(default_factory=dict)
 
@@ -92,9 +91,6 @@ class Automaton:
         self.count = [len(e) for e in self.ends]
         for s in sorted(range(1, len(self.link)), key=lambda s: -self.length[s]):
             self.count[self.link[s]] += self.count[s]
-        n = len(self.vocabulary)
-        codes = {a * n + b for t in self.texts.values() for a, b in zip(t, t[1:])}
-        self.bigrams = np.array(sorted(codes), np.int64)
         return self
 
     def occurrences(self, state: int) -> set[tuple[int, int]]:
@@ -192,25 +188,37 @@ def longest_chain(parts: list[tuple[int, int, int]], lim: Limits) -> tuple[int,
 
 
 class Screen:
-    """The word pairs of several automata, each with its own vocabulary: which texts can hold a leak at all."""
+    """The word groups (as many words as a run has at least) of several automata, each with its own vocabulary: which texts can
+    hold a leak at all. A leak has a number of them in one stretch of the text, no farther apart than runs may be."""
 
     def __init__(self, automata: Sequence[Automaton], lim: Limits):
-        self.least = int(lim.share * lim.span * (lim.seed - 1) / lim.seed)
-        self.parts = [(a.vocabulary | {BOUNDARY: -2}, a.bigrams) for a in automata]
+        self.parts, self.gap = [], lim.foreign + lim.seed
+        for a in automata:
+            n = max(len(a.vocabulary), 1)
+            k = lim.seed if n**lim.seed < 2**62 else 2
+            codes = {sum(w * n**x for x, w in enumerate(t[i : i + k])) for t in a.texts.values() for i in range(len(t) - k + 1)}
+            least = max(1, int(lim.share * lim.span * (lim.seed - k + 1) / lim.seed))
+            self.parts.append((a.vocabulary | {BOUNDARY: -2}, n, k, np.array(sorted(codes), np.int64), least))
 
     def look(self, texts: list[str]):
-        """(automaton, text number, the text's word numbers) of each text with enough word pairs of an automaton.
-        One pass of the tokeniser over the whole batch; BOUNDARY stands between the texts."""
+        """(automaton, text number, the text's word numbers) of each text that can hold a leak of an automaton. One pass of the
+        tokeniser over the whole batch; BOUNDARY stands between the texts."""
         said = words(f" {BOUNDARY} ".join(texts))
-        for k, (numbers, bigrams) in enumerate(self.parts):
-            n = len(numbers) - 1
+        for which, (numbers, n, k, grams, least) in enumerate(self.parts):
             flat = np.fromiter(map(numbers.get, said, repeat(-1)), np.int64)
             cuts = np.concatenate([[-1], np.nonzero(flat == -2)[0], [len(flat)]])
-            at = np.nonzero((flat[:-1] >= 0) & (flat[1:] >= 0))[0]
-            at = at[np.isin(flat[at] * n + flat[at + 1], bigrams)]
-            pairs = np.bincount(np.searchsorted(cuts, at, side="right") - 1, minlength=len(texts))
-            for t in np.nonzero(pairs >= self.least)[0]:
-                yield k, int(t), flat[cuts[t] + 1 : cuts[t + 1]].tolist()
+            size = max(len(flat) - k + 1, 0)
+            known = flat >= 0
+            at = np.nonzero(np.logical_and.reduce([known[x : x + size] for x in range(k)]))[0]
+            at = at[np.isin(sum(flat[at + x] * n**x for x in range(k)), grams)]
+            # Stretches: a new one begins with a new text or after too long a gap.
+            owner = np.searchsorted(cuts, at, side="right") - 1
+            new = np.ones(len(at), bool)
+            new[1:] = (owner[1:] != owner[:-1]) | (np.diff(at) > self.gap)
+            first = np.nonzero(new)[0]
+            enough = np.diff(np.append(first, len(at))) >= least
+            for t in np.unique(owner[first[enough]]):
+                yield which, int(t), flat[cuts[t] + 1 : cuts[t + 1]].tolist()
 
 
 def leaks_of(ids: list[int], auto: Automaton, lim: Limits):
