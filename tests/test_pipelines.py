@@ -68,3 +68,16 @@ def test_unnamed_victims_find_the_entity_they_are(spark, monkeypatch):
     got = [(r["id_l"], r["id_r"]) for r in pipelines.q_link_unnamed_victims(spark, sf).collect()]
     right = sum(r == f"p:{l}" for l, r in got)
     assert right >= 0.9 * known.count() and right >= 0.9 * len(got)
+
+
+def test_named_victims_are_united_by_the_whole_catalogue(spark):
+    """Pairs within clusters against the entity each row belongs to."""
+    sf = data_dir("sf0.01")
+    entity = {r[0]: r[1] for r in read_table(spark, sf, "victim_entities").select("entity_row_id", "victim_entity_id").collect()}
+    clusters: dict = {}
+    for r in pipelines.q_dedupe_entities(spark, sf).collect():
+        clusters.setdefault(r["cluster_id"], []).append(entity[r["member_id"]])
+    together = lambda groups: sum(len(g) * (len(g) - 1) // 2 for g in groups)
+    right = sum(together([[e] * members.count(e) for e in set(members)]) for members in clusters.values())
+    named = [entity[r[0]] for r in pipelines.named_victims(spark, sf).select("unique_id").collect()]
+    assert right >= 0.95 * together(clusters.values()) and right >= 0.95 * together([[e] * named.count(e) for e in set(named)])

@@ -54,21 +54,26 @@ def q_dedupe_named_victims(spark: SparkSession, sf: str) -> DataFrame:
     return jobs.run(job, Scratch(spark).keep(named_victims(spark, sf))).clusters.select("cluster_id", "member_id")
 
 
-@query()
-def q_dedupe_entities(spark: SparkSession, sf: str) -> DataFrame:
-    """Clusters of named entities by the whole catalogue of blocks for named victims, with its training and deterministic sets;
-    two entities of one article are never united, and unions the first pass blocks are not proposed again."""
+def named_victims_with_incidents(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows that name a victim with what is known of the incident: age, place, weapon, offender, summary."""
     e = coded(T(spark, sf, "entity_link_input").dropDuplicates(["unique_id"]))
-    parts = name_parts(F.col("victim_fullname_norm"))
-    rows = e.select(
-        "unique_id", "city_id", parts["forename"].alias("victim_forename"), parts["surname"].alias("victim_surname"), parts["full"].alias("victim_fullname"), "midpoint_day", "date_precision", "year", "month", "day",
-        "lat", "lon", "geo_address_norm", "geo_address_short", F.lit(None).cast("string").alias("address_type"), "victim_age", "victim_sex", "victim_race", "weapon", "circumstance", "relationship", "offender_age", "offender_sex", "exclusion_id", "summary_vec",
+    known = e.select(
+        F.col("unique_id").alias("victim_entity_id"), "day", "lat", "lon", "geo_address_norm", "geo_address_short", F.lit(None).cast("string").alias("address_type"), "victim_age", "weapon", "circumstance", "relationship",
+        "offender_age", "offender_sex", "summary_vec",
     )
-    comparisons = (cmp.name(), cmp.date(), cmp.age(), cmp.place(), cmp.same("victim_sex", "sex"), cmp.same("victim_race", "race"), cmp.weapon(), cmp.circumstance(), cmp.age("offender_age", label="offender_age"), cmp.same("offender_sex"), cmp.summary())
+    of = T(spark, sf, "victim_entities").select(F.col("entity_row_id").alias("unique_id"), "victim_entity_id").distinct()
+    return named_victims(spark, sf).join(of, "unique_id").join(known, "victim_entity_id", "left").drop("victim_entity_id")
+
+
+@query()
+def q_dedupe_entities(spark: SparkSession, sf: str) -> DataFrame:
+    """Clusters of named victims by the whole catalogue of blocks, with its training and deterministic sets; unions the first
+    pass blocks are not proposed again."""
+    comparisons = (cmp.name(), cmp.date(), cmp.age(), cmp.place(), cmp.same("victim_sex", "sex"), cmp.same("victim_race", "race"), cmp.weapon(), cmp.circumstance(), cmp.age("offender_age", label="offender_age"), cmp.same("offender_sex"))
     job = jobs.Job(
-        "unique_id", comparisons, cmp.named_victim_rules(), training=cmp.named_victim_training(), deterministic=cmp.named_victim_sure(), recall=0.6, predict_threshold=0.05, cluster_threshold=0.5, exclusion="exclusion_id", two_passes=True, em_runs=3,
+        "unique_id", comparisons, cmp.named_victim_rules(), training=cmp.named_victim_training(), deterministic=cmp.named_victim_sure(), recall=0.6, predict_threshold=0.5, cluster_threshold=0.9, exclusion="exclusion_id", two_passes=True, em_runs=3,
     )
-    return jobs.run(job, Scratch(spark).keep(rows)).clusters.select("cluster_id", "member_id")
+    return jobs.run(job, Scratch(spark).keep(named_victims_with_incidents(spark, sf))).clusters.select("cluster_id", "member_id")
 
 
 def in_shared_months(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
