@@ -233,7 +233,7 @@ def nearest_vectors(
         return pd.DataFrame(out | {"shard": key[0], "tree": np.append(np.full(len(rows), None), pickle.dumps((node, x, ids)))})
 
     first = scratch.keep(placed.groupBy("shard").applyInPandas(own, f"{found}, shard bigint, tree binary"), "own")
-    near, shards = first.filter("tree is null").select("q", "c", "s"), first.filter("tree is not null").select("shard", "tree")
+    near, shards = first.filter("q is not null").select("q", "c", "s"), first.filter("q is null").select("shard", "tree")
     if n_shards > 1:
         floors = near.groupBy("q").agg(F.when(F.count("*") >= want, F.min("s")).otherwise(F.lit(-1.0)).alias("floor"))
         asked = scratch.keep(placed.join(floors, placed.rep == floors.q).select("q", "b", "shard", "floor"), "asked")
