@@ -67,3 +67,41 @@ def test_tree_places_every_row():
     assert len(set(at)) == leaves and len(at) == 500
     same = np.ones((100, 4)) / 2
     assert build(same, 10)[1] == 1  # nothing to split by
+
+
+def test_vectors_are_kept_a_few_times_whatever_the_shards(spark, monkeypatch):
+    import os
+
+    from tidemark.llm import vptree
+
+    class Counting(vptree.Scratch):
+        written = 0
+
+        def keep(self, *args, **kw):
+            df = super().keep(*args, **kw)
+            Counting.written += sum(os.path.getsize(os.path.join(at, f)) for at, _, files in os.walk(df._tidemark_path.removeprefix("file://")) for f in files)
+            return df
+
+    monkeypatch.setattr(vptree, "Scratch", Counting)
+    x = np.random.default_rng(5).normal(size=(3000, 64)).round(4)
+    df = spark.createDataFrame([(f"v{i:05d}", r) for i, r in enumerate(x.tolist())], "id string, vec array<double>")
+    got = {(r["id"], r["neighbour"]) for r in vptree.nearest_vectors(df, k=5, width=64, shard_rows=400, leaf_rows=64).collect()}
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    s = np.round(u @ u.T, 9)
+    np.fill_diagonal(s, -2)
+    assert got == {(f"v{i:05d}", f"v{j:05d}") for i in range(3000) for j in np.argsort(-s[i], kind="stable")[:5]}
+    assert Counting.written < 2 * x.nbytes
+
+
+def test_packed_vectors_keep_their_direction():
+    from tidemark.llm.vptree import pack, unpack
+
+    rng = np.random.default_rng(6)
+    rows = [rng.normal(size=16).round(4), rng.normal(size=16).round(7), rng.normal(size=16).astype(np.float32).astype(float), rng.normal(size=16), rng.normal(size=16) * 1e300, np.eye(16)[3] * 5e-324]
+    x = np.array(rows)
+    scaled = x / np.abs(x).max(axis=1, keepdims=True)
+    want = scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
+    packed = pack(x)
+    assert [b[:1] for b in packed[:4]] == [b"h", b"i", b"f", b"d"]
+    assert np.abs(unpack(packed) - want).max() < 1e-15
+    assert pack(x[:1] * 2) == packed[:1]  # copies of one direction are one row

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 import pickle
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -117,29 +122,95 @@ class Best:
         self.sim[q], self.at[q] = sim[take], at[take]
 
 
-def search(node: Node, x: np.ndarray, ranks: np.ndarray, queries: np.ndarray, best: Best, factor: float, own: bool) -> None:
-    """Search the tree ``node`` over x for all queries; ``own``: the queries are x itself, so their own leaves come first."""
+def leaves(node: Node) -> Iterator[Node]:
+    stack = [node]
+    while stack:
+        n = stack.pop()
+        if n.leaf >= 0:
+            yield n
+        else:
+            stack += [n.outside, n.inside]
+
+
+def bounds(node: Node, x: np.ndarray) -> dict[int, np.ndarray]:
+    """For every leaf, how far each row of x is from its cell at least, by the triangle inequality."""
+    out, stack = {}, [(node, np.zeros(len(x)))]
+    while stack:
+        n, least = stack.pop()
+        if n.leaf >= 0:
+            out[n.leaf] = least
+            continue
+        d = distances(x, n.vantage)
+        stack.append((n.inside, np.maximum(least, d - n.mu)))
+        stack.append((n.outside, np.maximum(least, n.mu - d)))
+    return out
+
+
+def radius(floor: np.ndarray) -> np.ndarray:
+    """Of the ball in which vectors of at least this similarity lie."""
+    return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (floor - SLACK)))
+
+
+def search(node: Node, x: np.ndarray, ranks: np.ndarray, queries: np.ndarray, rows: np.ndarray, tau: np.ndarray, best: Best, factor: float, done: np.ndarray | None = None) -> None:
+    """Search the tree ``node`` over x for the queries ``rows``, which lie in balls of radius ``tau``; ``done``: the leaf that each has seen."""
     step = 2048
-    if own:
-        first = [node]
-        while first:
-            n = first.pop()
-            if n.leaf >= 0:
-                best.add(n.rows, x[n.rows] @ x[n.rows].T, ranks[n.rows])
+    for n, at in reachable(node, queries[rows], tau[rows], factor):
+        part = rows[at] if done is None else rows[at][done[rows[at]] != n.leaf]
+        for i in range(0, len(part), step):
+            best.add(part[i : i + step], queries[part[i : i + step]] @ x[n.rows].T, ranks[n.rows])
+
+
+def pack(x: np.ndarray) -> list[bytes]:
+    """Vectors as bytes that give their direction without loss: whole numbers of 16 or 32 bits where they are decimals of few
+    places, single precision where that is exact, else unit vectors in double precision."""
+    out: list[bytes] = [b""] * len(x)
+    left = np.arange(len(x))
+    with np.errstate(over="ignore", invalid="ignore"):
+        for places in range(10):
+            v = x[left]
+            whole = np.rint(v * 10.0**places)
+            fit = (np.abs(whole) < 2**31).all(axis=1) & (whole / 10.0**places == v).all(axis=1)
+            for i, n in zip(left[fit], whole[fit].astype(np.int64)):
+                n //= np.gcd.reduce(n)  # multiples of one vector are one
+                kind = "h" if np.abs(n).max() < 2**15 else "i"
+                out[i] = kind.encode() + n.astype(kind).tobytes()
+            left = left[~fit]
+    if len(left):
+        v = x[left]
+        with np.errstate(over="ignore"):
+            single = v.astype(np.float32)
+        for i, row, short, same in zip(left, v, single, (single == v).all(axis=1)):
+            if same:
+                out[i] = b"f" + short.tobytes()
             else:
-                first += [n.inside, n.outside]
-    tau = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (best.floor() - SLACK)))
-    for n, rows in reachable(node, queries, tau, factor):
-        for i in range(0, len(rows), step):
-            part = rows[i : i + step]
-            if own:
-                part = part[~np.isin(part, n.rows)]
-            if len(part):
-                best.add(part, queries[part] @ x[n.rows].T, ranks[n.rows])
+                row = row / np.abs(row).max()
+                out[i] = b"d" + (row / np.linalg.norm(row)).tobytes()
+    return out
+
+
+def unpack(packed) -> np.ndarray:
+    """The unit vectors."""
+    packed, out = list(packed), None
+    for kind in "hifd":
+        at = [i for i, b in enumerate(packed) if b[:1] == kind.encode()]
+        if at:
+            x = np.frombuffer(b"".join(packed[i][1:] for i in at), kind).reshape(len(at), -1).astype(np.float64)
+            if kind != "d":
+                x = x / np.abs(x).max(axis=1, keepdims=True)
+                x = x / np.linalg.norm(x, axis=1, keepdims=True)
+            out = np.zeros((len(packed), x.shape[1])) if out is None else out
+            out[at] = x
+    return np.zeros((0, 1)) if out is None else out
 
 
-def _matrix(col: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(col), np.float64).reshape(len(col), -1) if len(col) else np.zeros((0, 1))
+def _planted(folder: str, shard: int) -> tuple[Node, list[bytes], np.ndarray, list]:
+    """A shard's tree, its packed vectors, the ranks of their first ids, and their ids."""
+    fs, path = pafs.FileSystem.from_uri(f"{folder}/shard={shard}") if "://" in folder else (pafs.LocalFileSystem(), f"{folder}/shard={shard}")
+    for f in fs.get_file_info(pafs.FileSelector(path)):
+        if f.base_name.endswith(".parquet"):
+            with fs.open_input_file(f.path) as file:
+                return pickle.loads(pq.ParquetFile(file).read(columns=["tree"])["tree"][0].as_py())
+    raise FileNotFoundError(path)
 
 
 def nearest_vectors(
@@ -150,7 +221,7 @@ def nearest_vectors(
     vec_col: str = "vec",
     width: int | None = None,
     shard_rows: int = 8192,
-    block_rows: int = 32_768,
+    block_rows: int = 4096,
     leaf_rows: int = 512,
     fit_rows: int = 20_000,
     seed: int = 7,
@@ -159,18 +230,20 @@ def nearest_vectors(
 
     A vantage-point tree fitted to at most ``fit_rows`` sampled vectors splits space into shards of about
     ``shard_rows`` vectors (at most ``fit_rows`` shards); every vector is put into its shard. Each shard builds its own
-    tree, once, and searches it for its own vectors first. Their k-th similarity bounds the ball in which better ones can
-    lie, and only shards (and, inside, only leaves) the ball reaches by the triangle inequality are searched next.
-    A shard travels with its tree to one task for every ``block_rows`` vectors that visit it, and nowhere if none
-    does. ``factor`` divides the ball's radius: 1 is exact, more is faster and may miss some.
+    tree, once, and it is written to the shared folder. A task takes about ``block_rows`` vectors of one shard and
+    searches their own tree first. The k-th similarity so far bounds the ball in which better ones can
+    lie, and only shards (and, inside, only leaves) the ball reaches by the triangle inequality are searched next, the
+    nearest first; their trees are read from the folder. So no vector is shuffled to those it is compared
+    with, and disk holds each a fixed number of times, however many shards are searched. ``factor`` divides the ball's
+    radius (of what the own shard gave): 1 is exact, more is faster and may miss some.
 
     Exact copies of a vector are one row in the trees, however many there are; of their ids the k + 1 smallest can
     be anybody's neighbours, and all of them get their own result.
 
     Defined cases: vectors that are null, all zero, not ``width`` long (if given; else of another length than
     most), or hold a null, NaN or infinity take no part; null ids neither; similarities are rounded to 9 places,
-    ties go to the smaller id, a row is not its own neighbour; an id delivered twice counts once, with its first
-    vector in order; fewer than k others give fewer rows; other columns are ignored.
+    ties go to the smaller id, a row is not its own neighbour; an id delivered twice counts once, with the first of its
+    vectors in the order of their hashes; fewer than k others give fewer rows; other columns are ignored.
     """
     spark = vectors.sparkSession
     scratch = Scratch(spark)
@@ -182,19 +255,21 @@ def nearest_vectors(
     good = F.forall("v", lambda e: e.isNotNull() & (F.abs(e) < float("inf"))) & F.exists("v", lambda e: e != 0)
     kind = vectors.schema[id_col].dataType.simpleString()
 
-    def pack(batches):
-        for pdf in batches:
-            if len(pdf):
-                x = np.array(pdf["v"].tolist(), np.float64)
-                x = x / np.abs(x).max(axis=1, keepdims=True)
-                x = x / np.linalg.norm(x, axis=1, keepdims=True)
-                yield pd.DataFrame({"id": pdf["id"], "b": [r.tobytes() for r in x]})
+    def packing(batches):
+        for batch in batches:
+            if len(batch):
+                col = batch.column("v")
+                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(pack(col.flatten().to_numpy(zero_copy_only=False).reshape(len(col), -1)), pa.binary())], ["id", "b"])
 
     fit = whole.filter((F.size("v") == width) & good)
-    members = scratch.keep(fit.mapInPandas(pack, f"id {kind}, b binary").groupBy("id").agg(F.min("b").alias("b")).withColumn("h", F.xxhash64("b")), "members")
-    rank = F.row_number().over(Window.partitionBy("h", "b").orderBy("id"))
-    firsts = members.withColumn("n", rank).filter(F.col("n") <= k + 1)
-    reps = scratch.keep(firsts.groupBy("h", "b").agg(F.array_sort(F.collect_list("id")).alias("ids")).select(F.col("ids")[0].alias("rep"), "h", "b", "ids"), "reps")
+    packed = scratch.keep(fit.mapInArrow(packing, f"id {kind}, b binary").withColumn("h", F.unhex(F.md5("b"))), "packed")
+    members = scratch.keep(packed.groupBy("id").agg(F.min("h").alias("h")), "members")
+    first = F.row_number().over(Window.partitionBy("h").orderBy("id"))
+    heads = members.withColumn("n", first).filter(F.col("n") <= k + 1).groupBy("h").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+    reps = packed.groupBy("h").agg(F.first("b").alias("b")).join(heads, "h").withColumn("rep", F.col("ids")[0])
+    # Numbers in the order of the ids, so that ties are settled inside NumPy: partitions of an ordered frame are in order.
+    reps = scratch.keep(reps.orderBy("rep").select("h", "b", "ids").withColumn("at", F.monotonically_increasing_id()), "reps")
+    scratch.drop(packed)
     total = reps.count()
     out = f"id {kind}, neighbour {kind}, similarity double, rank int"
     if not total:
@@ -203,82 +278,77 @@ def nearest_vectors(
     # The upper tree: fitted to a bounded sample, used to place every vector.
     share = min(1.0, 1.2 * fit_rows / total)
     sample = reps.select("b") if share >= 1 else reps.select("b").sample(share, seed=seed)
-    sample = _matrix(sample.limit(fit_rows).toPandas()["b"])
+    sample = unpack(sample.limit(fit_rows).toPandas()["b"])
     n_shards = max(1, -(-total // shard_rows))
     top, _ = build(sample, max(1, -(-len(sample) // n_shards)), seed)
 
     def place(batches):
+        for batch in batches:
+            if len(batch):
+                shard = descend(top, unpack(batch.column("b").to_pylist()))
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shard, pa.int64())], [*batch.schema.names, "shard"])
+
+    def plant(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        """A shard as one row, with its tree."""
+        pdf = pdf.sort_values("at", ignore_index=True)
+        node, _ = build(unpack(pdf["b"]), leaf_rows)
+        tree = node, pdf["b"].tolist(), pdf["at"].to_numpy(), [tuple(i) for i in pdf["ids"]]
+        return pd.DataFrame({"shard": [key[0]], "tree": [pickle.dumps(tree)], "n": [len(pdf)]})
+
+    placed = reps.mapInArrow(place, f"h binary, b binary, ids array<{kind}>, at bigint, shard bigint")
+    trees = scratch.keep(placed.groupBy("shard").applyInPandas(plant, "shard bigint, tree binary, n bigint"), "trees", by="shard")
+    scratch.drop(reps)
+    folder, want = trees._tidemark_path, k + 1
+
+    def visit(batches):
         for pdf in batches:
-            if len(pdf):
-                yield pdf.assign(shard=descend(top, _matrix(pdf["b"])))
-
-    # Ids as numbers in order of the ids: ties can then be settled inside NumPy. rank_of is a dense, stable order
-    # only within a task, so tasks order their own ids and return ids.
-    placed = scratch.keep(reps.select("rep", "b").mapInPandas(place, f"rep {kind}, b binary, shard bigint"), "placed")
-    found = f"q {kind}, c {kind}, s double"
-    want = k + 1
-
-    def rows_of(best: Best, q: np.ndarray, ids: np.ndarray) -> pd.DataFrame:
-        r, c = np.nonzero(best.at < len(ids))
-        return pd.DataFrame({"q": q[r], "c": ids[best.at[r, c]], "s": best.sim[r, c]})
-
-    def own(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        """A shard's results for its own vectors, and one row with the shard and its tree."""
-        pdf = pdf.sort_values("rep", ignore_index=True)
-        x, ids = _matrix(pdf["b"]), pdf["rep"].to_numpy()
-        best, (node, _) = Best(len(x), want), build(x, leaf_rows)
-        search(node, x, np.arange(len(x)), x, best, factor, own=True)
-        rows = rows_of(best, ids, ids)
-        out = {c: np.append(rows[c].to_numpy(object), None) for c in ("q", "c", "s")}
-        return pd.DataFrame(out | {"shard": key[0], "tree": np.append(np.full(len(rows), None), pickle.dumps((node, x, ids)))})
-
-    first = scratch.keep(placed.groupBy("shard").applyInPandas(own, f"{found}, shard bigint, tree binary"), "own")
-    near, shards = first.filter("q is not null").select("q", "c", "s"), first.filter("q is null").select("shard", "tree")
-    if n_shards > 1:
-        floors = near.groupBy("q").agg(F.when(F.count("*") >= want, F.min("s")).otherwise(F.lit(-1.0)).alias("floor"))
-        asked = scratch.keep(placed.join(floors, placed.rep == floors.q).select("q", "b", "shard", "floor"), "asked")
-
-        def reached(pdf: pd.DataFrame):
-            x, home = _matrix(pdf["b"]), pdf["shard"].to_numpy()
-            tau = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (pdf["floor"].to_numpy() - SLACK)))
-            for leaf, rows in reachable(top, x, tau, factor):
-                rows = rows[home[rows] != leaf.leaf]
-                if len(rows):
-                    yield leaf.leaf, rows
-
-        def count(batches):
-            for pdf in batches:
-                yield pd.DataFrame([(leaf, len(rows)) for leaf, rows in reached(pdf)], columns=["shard", "n"])
-
-        visits = asked.mapInPandas(count, "shard bigint, n bigint").groupBy("shard").agg(F.sum("n").alias("n"))
-        blocks = {r["shard"]: -(-r["n"] // block_rows) for r in visits.collect()}  # at most `fit_rows` shards
-
-        def route(batches):
-            for pdf in batches:
-                lot = pd.util.hash_array(pdf["q"].to_numpy()) if len(pdf) else None
-                for leaf, rows in reached(pdf):
-                    yield pdf.iloc[rows][["q", "b", "floor"]].assign(shard=leaf, block=(lot[rows] % np.uint64(blocks[leaf])).astype(np.int64))
-
-        away = asked.mapInPandas(route, f"q {kind}, b binary, floor double, shard bigint, block bigint")
-        times = spark.createDataFrame([(s, n) for s, n in blocks.items()], "shard bigint, times bigint")
-        copies = shards.join(F.broadcast(times), "shard").select("shard", "tree", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("times") - 1)).alias("block"))
-
-        def visit(asking: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-            if not len(asking) or not len(held):
-                return pd.DataFrame({"q": [], "c": [], "s": []})
-            node, x, ids = pickle.loads(held["tree"].iloc[0])
-            best = Best(len(asking), want)
-            # Only what ties with or beats the shard's own k-th matters.
-            best.sim[:] = np.maximum(-2.0, asking["floor"].to_numpy() - SLACK)[:, None]
-            search(node, x, np.arange(len(x)), _matrix(asking["b"]), best, factor, own=False)
-            return rows_of(best, asking["q"].to_numpy(), ids)
-
-        more = away.groupBy("shard", "block").cogroup(copies.groupBy("shard", "block")).applyInPandas(visit, found)
-        near = near.unionByName(scratch.keep(more, "away"))
-
-    by = lambda key: Window.partitionBy(key).orderBy(F.desc("s"), "neighbour")
-    spread = near.join(reps.select(F.col("rep").alias("c"), "ids"), "c").select("q", "s", F.explode("ids").alias("neighbour"))
-    top_q = spread.withColumn("n", F.row_number().over(by("q"))).filter(F.col("n") <= want).drop("n")
-    who = members.join(reps.select("h", "b", F.col("rep").alias("q")), ["h", "b"]).select("id", "q")
-    mine = who.join(top_q, "q").filter("id != neighbour").withColumn("rank", F.row_number().over(by("id")))
-    return mine.filter(F.col("rank") <= k).select("id", "neighbour", F.col("s").alias("similarity"), F.col("rank").cast("int"))
+            for shard, part, parts in zip(pdf["shard"], pdf["part"], pdf["parts"]):
+                yield found(int(shard), int(part), int(parts))
+
+    def found(home: int, part: int, parts: int) -> pd.DataFrame:
+        """The nearest of a shard's vectors in every ``parts``-th leaf: (h, their ids and similarities in order)."""
+        node, packed, ranks, ids = _planted(folder, home)
+        x, hashes = unpack(packed), [hashlib.md5(b).digest() for b in packed]
+        own = list(leaves(node))[part::parts]
+        asked = np.concatenate([n.rows for n in own]) if own else np.zeros(0, np.int64)
+        q, best, seen, done = x[asked], Best(len(asked), want), 0, np.concatenate([np.full(len(n.rows), n.leaf) for n in own]) if own else np.zeros(0, np.int64)
+        for n in own:
+            best.add(np.arange(seen, seen := seen + len(n.rows)), x[n.rows] @ x[n.rows].T, ranks[n.rows])
+        names: dict[int, tuple] = {}
+
+        def note(ranks: np.ndarray, ids: list) -> None:
+            held = np.unique(best.at)
+            at = np.searchsorted(ranks, held)
+            new = np.flatnonzero(ranks[np.minimum(at, len(ranks) - 1)] == held)
+            live = {int(r): names[int(r)] for r in held if int(r) in names}
+            names.clear()
+            names.update(live)
+            names.update((int(held[i]), ids[at[i]]) for i in new)
+
+        search(node, x, ranks, q, np.arange(len(q)), radius(best.floor()), best, factor, done)
+        note(ranks, ids)
+        tau, far = radius(best.floor()), bounds(top, q)
+        for shard in sorted(far, key=lambda s: far[s].mean() if len(q) else 0.0):
+            now = tau if factor > 1 else radius(best.floor())
+            rows = np.flatnonzero(far[shard] <= now / factor + 1e-9)
+            if shard != home and shard in planted and len(rows):
+                node, packed, ranks, ids = _planted(folder, shard)
+                search(node, unpack(packed), ranks, q, rows, now, best, factor)
+                note(ranks, ids)
+        near = []
+        for at, sim in zip(best.at.tolist(), best.sim.tolist()):
+            each = [(s, i) for a, s in zip(at, sim) if a in names for i in names[a]]
+            if len(each) > len(at) or any(len(names[a]) > 1 for a in at if a in names):
+                each.sort(key=lambda e: (-e[0], e[1]))
+            near.append([{"s": s, "n": i} for s, i in each[:want]])
+        return pd.DataFrame({"h": [hashes[i] for i in asked], "near": near})
+
+    sizes = {r["shard"]: r["n"] for r in trees.select("shard", "n").collect()}  # at most `fit_rows` shards
+    planted = frozenset(sizes)
+    parts = [(s, i, -(-n // block_rows)) for s, n in sorted(sizes.items()) for i in range(-(-n // block_rows))]
+    tasks = spark.createDataFrame(spark.sparkContext.parallelize(parts, len(parts)), "shard bigint, part bigint, parts bigint")
+    near = scratch.keep(tasks.mapInPandas(visit, f"h binary, near array<struct<s: double, n: {kind}>>"), "near")
+    scratch.drop(trees)
+    others = F.slice(F.filter("near", lambda e: e["n"] != F.col("id")), 1, k)
+    mine = members.join(near, "h").select("id", F.posexplode(others).alias("rank", "e"))
+    return mine.select("id", F.col("e.n").alias("neighbour"), F.col("e.s").alias("similarity"), (F.col("rank") + 1).alias("rank"))
