@@ -198,3 +198,42 @@ def test_one_to_one_and_greedy(spark):
     s = spark.createDataFrame([(1, "a", "x", 5.0), (1, "a", "y", 4.0), (1, "b", "x", 4.5), (2, "c", "z", 1.0), (2, None, "z", 9.0)], "g int, l string, r string, w double")
     assert sorted((x["l"], x["r"]) for x in assignment.match_one_to_one(s.filter("l is not null"), "l", "r", "w").collect()) == [("a", "y"), ("b", "x"), ("c", "z")]
     assert sorted((x["l"], x["r"]) for x in assignment.greedy_groups(s.filter("l is not null"), "g", "l", "r", "w").collect()) == [("a", "x"), ("c", "z")]
+
+
+def test_near_values_meet_by_cells(spark):
+    rows = [(i, 1, v) for i, v in enumerate([0.1, 0.3, 0.2, -0.2, 0.4, 1.0, 1.1, None, float("nan"), float("inf"), -1e300, 0.7, 0.9])]
+    df = spark.createDataFrame(rows, "id int, g int, x double")
+    where = "abs(l.x - r.x) <= 0.2"
+    ids = lambda rule: {(a, b) for a, b in blocking.block_pairs(df, None, "id", [rule]).select("l.id", "r.id").collect()}
+    got = ids(Rule("a", ("g",), where, near=("x", 0.2)))
+    assert got == ids(Rule("a", ("g",), where)) and {(0, 1), (1, 2), (5, 6)} <= got
+    both = blocking.block_pairs(df, df, "id", [Rule("a", ("g",), where, near=("x", 0.2))]).select("l.id", "r.id").collect()
+    want = [(a[0], b[0]) for a in rows for b in rows if a[2] is not None and b[2] is not None and abs(a[2] - b[2]) <= 0.2]
+    assert sorted(map(tuple, both)) == sorted(want)
+
+
+def test_customer_blocks_are_cut_into_cells(spark):
+    """Within a nation and segment, customers far apart in balance are not compared."""
+    from tidemark.plans.linkage import CUSTOMER_RULES
+
+    c = spark.range(4000).selectExpr("id as c_custkey", "1 as c_nationkey", "'A' as c_mktsegment", "cast(id * 5 as double) as c_acctbal")
+    pairs = blocking.block_pairs(c, None, "c_custkey", CUSTOMER_RULES[:1])
+    plan = pairs._jdf.queryExecution().executedPlan()
+    assert pairs.count() == sum(min(50, 3999 - i) for i in range(4000))
+    keys = next(line for line in plan.toString().splitlines() if "Join" in line)
+    assert keys.count("_k2") >= 2, keys
+
+
+def test_barred_pairs_are_dropped_within_the_join(spark):
+    rows, df = people(spark, 120)
+    rules = [Rule("a", ("city", "sex"), "abs(l.day - r.day) <= 3"), Rule("b", ("city",), "l.day <= r.day")]
+    listed = [(5, i) for i in range(120)] + [(7, 9), (9, 7), (11, 10), (None, 3), (4, None), (500, 4)]  # 5 with everybody
+    barred = spark.createDataFrame(listed, "x int, y int")
+    got = blocking.block_pairs(df, None, "id", rules, barred=(barred, ("y", "x"))).select("l.id", "r.id", "rule")
+    gone = {frozenset(p) for p in listed}
+    want = {tuple(p) for p in blocking.block_pairs(df, None, "id", rules).select("l.id", "r.id", "rule").collect() if frozenset(p[:2]) not in gone}
+    assert {tuple(p) for p in got.collect()} == want and got.count() == len(want)
+    assert "LeftAnti" not in got._jdf.queryExecution().executedPlan().toString()
+    two = blocking.block_pairs(df, df, "id", rules[:1], barred=(barred, ("x", "y"))).select("l.id", "r.id")
+    every = blocking.block_pairs(df, df, "id", rules[:1]).select("l.id", "r.id")
+    assert sorted(map(tuple, two.collect())) == sorted(tuple(p) for p in every.collect() if frozenset(p) not in gone)

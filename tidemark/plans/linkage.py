@@ -29,8 +29,8 @@ def query(sql: str | None = None):
 
 #: Rules over customers: the block first, then bands of balance as residual conditions.
 CUSTOMER_RULES = (
-    Rule("nation_segment", ("c_nationkey", "c_mktsegment"), "abs(l.c_acctbal - r.c_acctbal) <= 250"),
-    Rule("nation_band", ("c_nationkey", "floor(c_acctbal / 500)"), "abs(l.c_acctbal - r.c_acctbal) <= 100"),
+    Rule("nation_segment", ("c_nationkey", "c_mktsegment"), "abs(l.c_acctbal - r.c_acctbal) <= 250", near=("c_acctbal", 250)),
+    Rule("nation_band", ("c_nationkey", "floor(c_acctbal / 500)"), "abs(l.c_acctbal - r.c_acctbal) <= 100", near=("c_acctbal", 100)),
     Rule("segment_cents", ("c_mktsegment", "round(c_acctbal, 0)")),
 )
 _CUSTOMERS = ("c_nationkey", "c_mktsegment", "c_acctbal")
