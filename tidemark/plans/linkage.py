@@ -60,8 +60,8 @@ w as (select *, log2(0.01 / 0.99) + case gamma_balance when 2 then log2(0.6 / 0.
 )
 
 
-def _blocked(spark: SparkSession, sf: str) -> DataFrame:
-    return blocking.block_pairs(T(spark, sf, "customer"), None, "c_custkey", CUSTOMER_RULES, _CUSTOMERS)
+def _blocked(spark: SparkSession, sf: str, barred: tuple | None = None) -> DataFrame:
+    return blocking.block_pairs(T(spark, sf, "customer"), None, "c_custkey", CUSTOMER_RULES, _CUSTOMERS, barred)
 
 
 def _ids(df: DataFrame, *more) -> DataFrame:
@@ -117,8 +117,7 @@ def q_top1_per_right(spark: SparkSession, sf: str) -> DataFrame:
 def q_do_not_link_filter(spark: SparkSession, sf: str) -> DataFrame:
     c = T(spark, sf, "customer").select(F.col("c_custkey").alias("a"))
     barred = c.select((F.col("a") + 7).alias("x"), F.col("a").alias("y")).unionByName(c.select(F.col("a").alias("x"), (F.col("a") + 13).alias("y")))
-    pairs = _blocked(spark, sf)
-    return _ids(blocking.drop_listed(pairs, barred, F.col("l.c_custkey"), F.col("r.c_custkey"), ("x", "y")))
+    return _ids(_blocked(spark, sf, (barred, ("x", "y"))))
 
 
 @query(_SCORES + """select l, r, comparison, gamma, round(weight, 6) as weight from (
