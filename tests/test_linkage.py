@@ -237,3 +237,54 @@ def test_barred_pairs_are_dropped_within_the_join(spark):
     two = blocking.block_pairs(df, df, "id", rules[:1], barred=(barred, ("x", "y"))).select("l.id", "r.id")
     every = blocking.block_pairs(df, df, "id", rules[:1]).select("l.id", "r.id")
     assert sorted(map(tuple, two.collect())) == sorted(tuple(p) for p in every.collect() if frozenset(p) not in gone)
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_assignment_without_the_matrix(seed):
+    rng = np.random.default_rng(seed)
+    n = int(rng.integers(1, 8))
+    m = int(rng.integers(n, 12))
+    w = rng.integers(-2, 9, (n, m)).astype(float) if seed % 2 else rng.normal(1, 3, (n, m))
+    w[rng.random(w.shape) < rng.random()] = np.nan
+    gain = np.where(np.isnan(w), 0.0, np.maximum(w, 0.0))
+    picked = assignment.assign_rows(lambda i, j: gain[np.ix_(i, j)], n, m, ahead=2)
+    assert len({i for i, _ in picked}) == len({j for _, j in picked}) == len(picked)
+    assert all(gain[i, j] > 0 for i, j in picked)
+    assert sum(w[i, j] for i, j in picked) == pytest.approx(sum(w[i, j] for i, j in assignment.assign(w)))
+
+
+def _near():
+    def weigh(l, r):
+        gap = np.abs(np.subtract.outer(l["v"].to_numpy(float), r["v"].to_numpy(float)))
+        return np.where(gap <= 4, 3.5 - gap, np.nan)
+
+    return weigh  # a function of its own, which workers get by value
+
+
+@pytest.mark.parametrize("full", [False, True])
+def test_matching_of_blocks_is_that_of_their_pairs(spark, full):
+    rng = np.random.default_rng(8)
+    side = lambda n: [(None if rng.random() < 0.05 else int(rng.integers(n)), None if rng.random() < 0.05 else int(rng.integers(4)), None if rng.random() < 0.1 else float(rng.integers(30))) for _ in range(n)]
+    left, right = (spark.createDataFrame(side(n), "id long, g int, v double") for n in (60, 50))
+    pairs = left.toDF("l", "g", "a").join(right.toDF("r", "g", "b"), "g").filter("abs(a - b) <= 4").selectExpr("g", "l", "r", "3.5 - abs(a - b) as w")
+    want = [tuple(x) for x in assignment.match_groups(pairs, "g", "l", "r", "w", full).collect()]
+    got = [tuple(x) for x in assignment.match_blocks(left, right, "g", "id", _near(), ("l", "r", "w"), full).collect()]
+    assert len({x[:2] for x in got}) == len({(x[0], x[2]) for x in got}) == len(got) == len(want)
+    assert {tuple(x) for x in pairs.collect()} >= set(got)
+    for g in range(4):
+        assert sum(x[3] for x in got if x[0] == g) == pytest.approx(sum(x[3] for x in want if x[0] == g))
+    assert assignment.match_blocks(left.limit(0), right, "g", "id", _near(), ("l", "r", "w"), full).count() == 0
+
+
+@pytest.mark.parametrize("name", ["q_max_weight_match", "q_match_within_groups"])
+def test_matching_queries_make_no_pairs(spark, name):
+    import __spark_entry__ as entry
+
+    plan = entry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "FlatMapCoGroupsInPandas" in plan
+
+
+def test_ties_of_blocks_go_to_smaller_ids(spark):
+    both = spark.createDataFrame([(i, 1, 5.0) for i in range(6)], "id long, g int, v double")
+    got = assignment.match_blocks(both.filter("id < 3"), both, "g", "id", _near(), ("l", "r", "w")).select("l", "r").collect()
+    assert sorted(map(tuple, got)) == [(0, 0), (1, 1), (2, 2)]

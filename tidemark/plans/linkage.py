@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -101,10 +102,20 @@ _LINK = """with p as (select s_suppkey as l, c_custkey as r, log2(0.01 / 0.99) +
 _LINK_MODEL = Model(0.01, (Comparison("balance", "false", (Level("near", "abs(l.acctbal - r.acctbal) <= 100", 0.8, 0.1), Level("else", "true", 0.25, 0.5))),))
 
 
-def _linked(spark: SparkSession, sf: str) -> DataFrame:
+def _accounts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     left = T(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_nationkey").alias("nation"), F.col("s_acctbal").alias("acctbal"))
     right = T(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("nation"), F.col("c_acctbal").alias("acctbal"))
-    return linkage.score(blocking.block_pairs(left, right, "id", [Rule("nation", ("nation",), "abs(l.acctbal - r.acctbal) <= 500")]), _LINK_MODEL)
+    return left, right
+
+
+def _closeness(left, right):
+    """By how much two balances are closer than 500; NaN, no pair, where they are farther apart."""
+    gap = np.abs(np.subtract.outer(left["acctbal"].to_numpy(float), right["acctbal"].to_numpy(float)))
+    return np.where(gap <= 500, 500 - gap, np.nan)
+
+
+def _linked(spark: SparkSession, sf: str) -> DataFrame:
+    return linkage.score(blocking.block_pairs(*_accounts(spark, sf), "id", [Rule("nation", ("nation",), "abs(l.acctbal - r.acctbal) <= 500")]), _LINK_MODEL)
 
 
 @query(_LINK + "select l, r, round(w, 6) as weight from p qualify row_number() over (partition by r order by w desc, l) = 1")
@@ -228,8 +239,7 @@ def q_second_pass_exclusions(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def q_max_weight_match(spark: SparkSession, sf: str) -> DataFrame:
-    scored = _linked(spark, sf).select(F.col("l.id").alias("l"), F.col("r.id").alias("r"), (F.lit(500) - F.abs(F.col("l.acctbal") - F.col("r.acctbal"))).alias("w"))
-    return assignment.match_one_to_one(scored, "l", "r", "w").withColumn("w", F.round("w", 6))
+    return assignment.match_blocks(*_accounts(spark, sf), "nation", "id", _closeness, ("l", "r", "w")).drop("nation").withColumn("w", F.round("w", 6))
 
 
 @query()
