@@ -244,8 +244,8 @@ def q_max_weight_match(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def q_match_within_groups(spark: SparkSession, sf: str) -> DataFrame:
-    scored = _linked(spark, sf).select(F.col("l.nation").alias("g"), F.col("l.id").alias("l"), F.col("r.id").alias("r"), (F.lit(500) - F.abs(F.col("l.acctbal") - F.col("r.acctbal"))).alias("w"))
-    return assignment.match_groups(scored, "g", "l", "r", "w", full=True).withColumn("w", F.round("w", 6))
+    out = assignment.match_blocks(*_accounts(spark, sf), "nation", "id", _closeness, ("l", "r", "w"), full=True)
+    return out.withColumnRenamed("nation", "g").withColumn("w", F.round("w", 6))
 
 
 @query()
